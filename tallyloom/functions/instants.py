@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BLANK = r"^[\s  - 　﻿]+|[\s  - 　﻿]+$"
+_BLANK = r"^[\s\u00a0\u2000-\u200a\u3000\ufeff]+|[\s\u00a0\u2000-\u200a\u3000\ufeff]+$"
 _ISO = r"^(\d{4})(-?)(\d{2})\2(\d{2})[T ]\s*(\d{2})(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d{1,9}))?)?\s*(?:(Z|UTC|GMT)|([+-]\d{2})(?::?(\d{2}))?)?$"
 _STAMP = r"^\d{14}$"
 _SECONDS = r"^\d{9,10}$"

@@ -1,4 +1,4 @@
-"""Queries p2, p3 and p6 over the whole test tables, with SQL where it says the same."""
+"""Queries p1, p2, p3 and p6 over the whole test tables, with SQL where it says the same."""
 
 from __future__ import annotations
 
@@ -6,10 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.instants import compact_utc
-from ..operators import drift, grid, rolling
+from ..operators import drift, grid, rolling, spikes
 from ..tables import load
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return spikes.flag_readings(load(spark, d, "timeline_chunks")).where("flag is not null").select("row_id")
+
+
+def p1_flags(spark: SparkSession, d: str) -> DataFrame:
+    """Every row with its flag (impossible, spike, stuck or null) and its residual."""
+    return spikes.flag_readings(load(spark, d, "timeline_chunks"))
+
+
 def p2_grid(spark: SparkSession, d: str) -> DataFrame:
     g = grid.regular_grid(load(spark, d, "timeline_chunks"))
     return g.select(F.col("source").alias("series_id"), compact_utc(F.col("k") * F.col("step")).alias("period_start"), "value", "n_readings", "status")
@@ -74,7 +83,7 @@ rolled as (select series_id, k, total, n,
   sum(total) over a as total_7, sum(n) over a as n_7, sum(total) over b as total_30, sum(n) over b as n_30 from dense
   window a as (partition by series_id order by k range between 6 preceding and current row), b as (partition by series_id order by k range between 29 preceding and current row))"""
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_grid, p3_found, p3_changes, p3_table, p3_cast_failures, p6_found, p6_totals)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_flags, p2_found, p2_grid, p3_found, p3_changes, p3_table, p3_cast_failures, p6_found, p6_totals)}
 
 SQL = {
     "p2_found": f"""with {_USABLE}, cells as (select distinct series_id, step_seconds::bigint as st, floor(us / (step_seconds::bigint * 1000000))::bigint as k from usable),
