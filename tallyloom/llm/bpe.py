@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 VOCABULARY = os.environ.get("TALLYLOOM_BPE", "/opt/tokenizers/byte_bpe_50k.json")
 #: White space as the tokenizer's pattern has it (the Unicode property).
-_WS = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
+_WS = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = regex.compile(rf"'(?:[sdmt]|ll|ve|re)| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 _BORDER = regex.compile(r"(?<=[^\s\x1c-\x1f]) (?=[^\s\x1c-\x1f])")
 KEEP_LENGTH = 48

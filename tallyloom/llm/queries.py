@@ -1,4 +1,4 @@
-"""Queries p4, p5, p7 and p8 over the whole test tables, with SQL where it says the same."""
+"""Queries p4, p5, p7, p8 and p9 over the whole test tables, with SQL where it says the same."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..tables import load
-from . import bpe, dedupe, packing, sampling
+from . import bpe, dedupe, language, packing, sampling
 
 
 def _sampled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -59,7 +59,19 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return c.agg(F.count(F.lit(1)).alias("containers"), F.sum("used").alias("tokens"), (F.sum("used") / F.count(F.lit(1)) / packing.CAPACITY).alias("fill"), F.max("used").alias("fullest"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_report, p4_sample, p5_found, p5_records, p7_ids, p7_roundtrip, p8_found, p8_containers, p8_fill)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.label_cases(spark, load(spark, d, "documents")).select("doc_id", "lang")
+
+
+def p9_documents(spark: SparkSession, d: str) -> DataFrame:
+    return language.identify(spark, load(spark, d, "documents"))[0]
+
+
+def p9_segments(spark: SparkSession, d: str) -> DataFrame:
+    return language.identify(spark, load(spark, d, "documents"))[1]
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_report, p4_sample, p5_found, p5_records, p7_ids, p7_roundtrip, p8_found, p8_containers, p8_fill, p9_found, p9_documents, p9_segments)}
 
 _FOLD = r"replace(regexp_replace(lower(upper({})), '[^\p{{L}}\p{{M}}\p{{Nd}}]+', '', 'g'), 'ς', 'σ')"
 _BASE = "(case when strpos(url, '?') > 0 then substr(url, 1, strpos(url, '?') - 1) else url end)"

@@ -22,12 +22,12 @@ SALTS = 64
 
 def channel_name(c: Column) -> Column:
     """A channel without regard to case, outer blanks and the kind of separator."""
-    return F.regexp_replace(F.regexp_replace(F.lower(c), r"^[\s ]+|[\s ]+$", ""), r"[\s _\-‐-―]+", "_")
+    return F.regexp_replace(F.regexp_replace(F.lower(c), r"^[\s\u00a0]+|[\s\u00a0]+$", ""), r"[\s\u00a0_\-\u2010-\u2015]+", "_")
 
 
 def domain_name(c: Column) -> Column:
     """A domain without regard to case, outer blanks and a leading www."""
-    return F.regexp_replace(F.regexp_replace(F.lower(c), r"^[\s ]+|[\s ]+$", ""), r"^www\.", "")
+    return F.regexp_replace(F.regexp_replace(F.lower(c), r"^[\s\u00a0]+|[\s\u00a0]+$", ""), r"^www\.", "")
 
 
 def rake(sizes: np.ndarray, margins: list[tuple[np.ndarray, np.ndarray]], rounds: int = 200, tol: float = 1e-10) -> np.ndarray:
