@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BLANK = r"^[\s\u00a0\u2000-\u200a\u3000\ufeff]+|[\s\u00a0\u2000-\u200a\u3000\ufeff]+$"
+#: White space around a text.
+BLANKS = "\t\n\x0b\x0c\r \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 _ISO = r"^(\d{4})(-?)(\d{2})\2(\d{2})[T ]\s*(\d{2})(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d{1,9}))?)?\s*(?:(Z|UTC|GMT)|([+-]\d{2})(?::?(\d{2}))?)?$"
-_STAMP = r"^\d{14}$"
-_SECONDS = r"^\d{9,10}$"
-_MILLIS = r"^\d{12,13}$"
+_DIGITS = r"^\d+$"
+
+
+def strip(text: Column) -> Column:
+    """The text without white space of any kind around it."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
+def _dashed(s: Column, at: int) -> Column:
+    """yyyyMMdd and, from character ``at`` on, HHmmss as a form that the cast to a timestamp reads."""
+    part = lambda i, n: F.substring(s, i, n)
+    return F.concat(part(1, 4), F.lit("-"), part(5, 2), F.lit("-"), part(7, 2), F.lit("T"), part(at, 2), F.lit(":"), part(at + 2, 2), F.lit(":"), part(at + 4, 2), F.lit("Z"))
 
 
 def instant_micros(text: Column) -> Column:
@@ -18,20 +28,28 @@ def instant_micros(text: Column) -> Column:
     Read are ISO forms (basic or extended, T or blank between day and time, seconds and fraction optional, with Z, an
     offset or none: then UTC), 14-digit stamps, Unix seconds (9 or 10 digits) and milliseconds (12 or 13 digits), in
     either letter case and with stray blanks around them. Days without a time, words and impossible dates give null.
-    The result doesn't depend on the session's time zone.
+    The result doesn't depend on the session's time zone. The usual forms are told apart by length and single
+    characters and read by the cast; only what is left meets a regular expression.
     """
-    s = F.upper(F.regexp_replace(text, _BLANK, ""))
+    s = F.upper(strip(text))
+    n = F.length(s)
+    at = lambda i: F.substring(s, i, 1)
+    micros = lambda x: F.unix_micros(x.try_cast("timestamp"))
+    compact = (n == 16) & (at(9) == "T") & (at(16) == "Z")
+    dashed = (n >= 19) & (at(5) == "-") & (at(8) == "-") & (at(11).isin("T", " ")) & (at(14) == ":") & (at(17) == ":")
+    zoned = (at(20) == "Z") | F.substring(s, 20, 40).rlike(r"^(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})$")
+    number = s.try_cast("bigint")
     parts = F.split(F.regexp_replace(s, _ISO, "$1$3$4$5$7|$8|$9|$11|$12"), r"\|")
     seconds = F.when(F.length(parts[1]) > 0, parts[1]).otherwise("00")
     fraction = F.rpad(F.substring(parts[2], 1, 6), 6, "0").try_cast("bigint")
     zone = F.when(F.length(parts[3]) > 0, F.concat(parts[3], F.lit(":"), F.when(F.length(parts[4]) > 0, parts[4]).otherwise("00"))).otherwise("Z")
     iso = F.unix_micros(F.try_to_timestamp(F.concat(parts[0], seconds, zone), F.lit("yyyyMMddHHmmssXXX"))) + F.coalesce(fraction, F.lit(0))
-    stamp = F.unix_micros(F.try_to_timestamp(F.concat(s, F.lit("Z")), F.lit("yyyyMMddHHmmssXXX")))
     return (
-        F.when(s.rlike(_ISO), iso)
-        .when(s.rlike(_STAMP), stamp)
-        .when(s.rlike(_SECONDS), s.try_cast("bigint") * 1_000_000)
-        .when(s.rlike(_MILLIS), s.try_cast("bigint") * 1_000)
+        F.when(compact & F.translate(F.substring(s, 1, 15), "0123456789", "").eqNullSafe("T"), micros(_dashed(s, 10)))
+        .when(dashed & (n == 19), micros(F.concat(s, F.lit("Z"))))
+        .when(dashed & zoned, micros(s))
+        .when(number.isNotNull() & s.rlike(_DIGITS), F.when(n == 14, micros(_dashed(s, 9))).when(n.isin(9, 10), number * 1_000_000).when(n.isin(12, 13), number * 1_000))
+        .when(s.rlike(_ISO), iso)
     )
 
 

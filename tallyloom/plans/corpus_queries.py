@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.instants import BLANKS, strip
 from ..operators import corpus as C
 from .base import load, r6, r6_sql
 
@@ -83,7 +84,7 @@ def _articles(spark: SparkSession, d: str) -> DataFrame:
 
 def t02_dedupe(spark: SparkSession, d: str) -> DataFrame:
     """One article per title (or address), the lower tier first, then the lower row."""
-    key = F.substring(F.lower(F.trim(F.coalesce(F.col("title"), F.col("url")))), 1, 120)
+    key = F.substring(F.lower(strip(F.coalesce(F.col("title"), F.col("url")))), 1, 120)
     a = _articles(spark, d).withColumn("dedupe_key", key).where("dedupe_key is not null")
     return C.best_per_key(a.select("dedupe_key", "sheet_row", "tier"), ["dedupe_key"], [F.coalesce("tier", F.lit(5)), F.col("sheet_row")]).select("dedupe_key", "sheet_row", "tier")
 
@@ -221,7 +222,7 @@ SQL = {
     "a22_theme_topk": f"with en as (select doc_id, {_n('text')} as n from documents where lang = 'en' and text is not null), w as (select unnest(list_distinct(string_split(n, ' '))) as word from en) select word, count(*)::bigint as n, {r6_sql('count(*) / (select count(*) from en)')} as share from w where length(word) >= 7 group by word order by count(*) desc, word limit 10",
     "a25_jaccard_channels": f"with m as (select distinct channel, source from documents where channel is not null and source is not null), s as (select channel, count(*) as n from m group by 1), p as (select x.channel as a, y.channel as b, count(*) as common from m x join m y on x.source = y.source and x.channel < y.channel group by all) select a, b, common::bigint as common, (u.n + v.n - common)::bigint as either, {r6_sql('common / (u.n + v.n - common)')} as jaccard from p join s u on u.channel = a join s v on v.channel = b",
     "t01_tier_cut": f"with {_A}, r as (select channel, sheet_row, row_number() over (partition by channel order by coalesce(tier, 5), coalesce(contains({_h('title')}, ' tariff '), false) desc, sheet_row) as rank from art where channel is not null) select channel, sheet_row, rank::bigint as rank from r where rank <= 75",
-    "t02_dedupe": f"with {_A}, k as (select *, substr(lower(trim(coalesce(title, url))), 1, 120) as dedupe_key from art) select dedupe_key, sheet_row, tier from k where dedupe_key is not null qualify row_number() over (partition by dedupe_key order by coalesce(tier, 5), sheet_row) = 1",
+    "t02_dedupe": f"with {_A}, k as (select *, substr(lower(trim(coalesce(title, url), '{BLANKS}')), 1, 120) as dedupe_key from art) select dedupe_key, sheet_row, tier from k where dedupe_key is not null qualify row_number() over (partition by dedupe_key order by coalesce(tier, 5), sheet_row) = 1",
     "t05_hash_rank_sample": f"with r as (select doc_id, channel, row_number() over (partition by channel order by sha256('audit-1|' || doc_id), doc_id) as rank, count(*) over (partition by channel) as n from documents where channel is not null) select doc_id, channel, rank::bigint as rank, {r6_sql('least(1.0, 20 / n)')} as inclusion from r where rank <= 20",
     "t07_first_per_window": "select floor(epoch_us(ts) / 1800000000)::bigint as window_no, arg_min(event_id, row(ts, event_id)) as event_id from events group by 1",
     "j11_annotate": f"with {_A} select channel, count(*)::bigint as articles, count(tier)::bigint as annotated, {r6_sql('count(tier) / count(*)')} as rate from art group by channel",
