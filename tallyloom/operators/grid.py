@@ -71,11 +71,12 @@ def regular_grid(
     its value (status ``observed``). A gap of at most ``max_fill`` periods is filled by linear interpolation between its
     neighbours (``interpolated``), a longer one is marked with null (``missing``); periods outside the readings are
     ``edge``. Sources whose step is null or not positive have no grid. Extra columns are ignored; an empty table gives
-    an empty grid; a source with differing steps is laid out once per step.
+    an empty grid; a source with differing steps is laid out once per step. The cells, one row per period with
+    readings, are persisted, as several branches start from them.
     """
     usable = usable_readings(df, source=source, date=date, value=value, order=order, extra=(step,)).where(F.col(step) > 0)
     usable = usable.select(F.struct("source", F.col(step).cast("bigint").alias("step")).alias("source"), F.floor(F.col("micros") / (F.col(step).cast("bigint") * 1_000_000)).alias("k"), "micros", "ord", "value")
-    cells = usable.groupBy("source", "k").agg(F.struct(F.max_by("value", F.struct("micros", "ord")).alias("v"), F.count(F.lit(1)).alias("n")).alias("value"))
+    cells = usable.groupBy("source", "k").agg(F.struct(F.max_by("value", F.struct("micros", "ord")).alias("v"), F.count(F.lit(1)).alias("n")).alias("value")).persist()
     pairs = pair_neighbours(cells, block)
     own = pairs.select("source", "k", F.col("value.v").alias("value"), F.col("value.n").alias("n_readings"), F.lit("observed").alias("status"))
     gaps = pairs.where(F.col("next_k") > F.col("k") + 1).select("source", "k", "next_k", F.col("value.v").alias("v0"), F.col("next_value.v").alias("v1"), (F.col("k") + 1).alias("_lo"), (F.col("next_k") - 1).alias("_hi"))

@@ -23,8 +23,11 @@ def latest_readings(usable: DataFrame) -> DataFrame:
 
 
 def daily_totals(usable: DataFrame) -> DataFrame:
-    """(source, k, value = struct(total, n)) for the days with readings; k counts days from the epoch."""
-    return latest_readings(usable).groupBy("source", F.floor(F.col("micros") / DAY).alias("k")).agg(F.struct(F.sum("value").alias("total"), F.count("value").alias("n")).alias("value"))
+    """(source, k, value = struct(total, n)) for the days with readings; k counts days from the epoch.
+
+    They are persisted, as several branches start from them.
+    """
+    return latest_readings(usable).groupBy("source", F.floor(F.col("micros") / DAY).alias("k")).agg(F.struct(F.sum("value").alias("total"), F.count("value").alias("n")).alias("value")).persist()
 
 
 def dense_days(days: DataFrame) -> DataFrame:
