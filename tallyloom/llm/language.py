@@ -258,6 +258,20 @@ def _describe(best: np.ndarray, sure: np.ndarray, count: np.ndarray) -> tuple:
     return main, volume[main] / total, present, len(own), [(s, lang, w / n, at, m, n) for s, lang, w, at, m, n in parts]
 
 
+def _portions(texts: list[str | None], most: int = 1_000_000) -> Iterator[list[str | None]]:
+    """Whole texts in portions of about ``most`` characters, which bounds the arrays of a batch."""
+    part: list[str | None] = []
+    size = 0
+    for t in texts:
+        part.append(t)
+        size += len(t or "")
+        if size >= most:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def identify(spark: SparkSession, df: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang", model: Model | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, segments).
 
@@ -275,16 +289,19 @@ def identify(spark: SparkSession, df: DataFrame, *, key: str = "doc_id", text: s
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = _scorer(data.value)
         for pdf in batches:
-            pieces = [sentences(t) if t else [] for t in pdf["t"]]
-            best, sure, count = judge(scorer.score([s for p in pieces for s in p]))
-            ends = np.cumsum([0, *map(len, pieces)])
-            rows = [_describe(best[a:b], sure[a:b], count[a:b]) for a, b in zip(ends, ends[1:])]
+            rows: list[tuple] = []
+            for texts in _portions(pdf["t"].tolist()):
+                pieces = [sentences(t) if t else [] for t in texts]
+                best, sure, count = judge(scorer.score([s for p in pieces for s in p]))
+                ends = np.cumsum([0, *map(len, pieces)])
+                rows += [_describe(best[a:b], sure[a:b], count[a:b]) for a, b in zip(ends, ends[1:])]
             out = pd.DataFrame(rows, columns=["lang", "confidence", "langs", "n_sentences", "segments"])
             out.insert(0, "l", pdf["l"].to_numpy())
             out.insert(0, "k", pdf["k"].to_numpy())
             yield out
 
-    told = df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).alias("l")).mapInPandas(run, f"k {kind}, l string, {_OUT}")
+    # the key travels as text: pandas would make floats of whole numbers beside nulls
+    told = df.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(label).alias("l")).mapInPandas(run, f"k string, l string, {_OUT}").withColumn("k", F.col("k").cast(kind))
     documents = told.select(F.col("k").alias(key), F.col("l").alias("label"), label_code(F.col("l")).alias("code"), "lang", "confidence", "langs", "n_sentences")
     segments = told.select(F.col("k").alias(key), F.explode("segments").alias("s")).select(key, "s.*")
     return documents, segments

@@ -206,7 +206,8 @@ def pack(lengths: DataFrame, *, key: str = "doc_id", size: str = "n_tokens", cap
     spread = small.join(F.broadcast(bin_of), "rest").withColumn("block", F.pmod(F.xxhash64("key"), F.lit(RANK_BLOCKS)))
     before = spread.groupBy("bin", "block").count().withColumn("_before", F.expr("sum(count) over (partition by bin order by block rows between unbounded preceding and 1 preceding)"))
     ranked = spread.withColumn("_r", F.expr("row_number() over (partition by bin, block order by key, n)")).join(before.drop("count"), ["bin", "block"]).withColumn("rank", F.coalesce("_before", F.lit(0)) + F.col("_r") - 1)
-    placed = ranked.select("key", "n", "rest", "rank").mapInPandas(place, f"key {kind}, n bigint, rest bigint, container bigint")
+    # the key travels as text: pandas would make floats of whole numbers beside nulls
+    placed = ranked.select(F.col("key").cast("string").alias("key"), "n", "rest", "rank").mapInPandas(place, "key string, n bigint, rest bigint, container bigint").withColumn("key", F.col("key").cast(kind))
     packed = placed.select("key", F.floor((F.col("n") - F.col("rest")) / capacity).cast("int").alias("part"), (F.col("n") - F.col("rest")).alias("start"), F.col("rest").alias("n"), "container", F.when(F.col("n") > capacity, "rest").otherwise("whole").alias("kind"))
     # full stretches follow the packed containers: numbered by blocks of keys
     long_ = items.where(F.col("n") > capacity).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(RANK_BLOCKS))).withColumn("full", F.floor(F.col("n") / capacity))
