@@ -22,16 +22,31 @@ def domain(url: Column) -> Column:
     return F.when(authority != "", F.regexp_replace(F.lower(authority), r"^www\.", ""))
 
 
-def phrase_matches(docs: DataFrame, phrases: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+#: Dictionaries of up to so many phrases are tested as a list on each text; larger ones meet the texts by a join.
+LISTED_PHRASES = 256
+
+
+def phrase_matches(docs: DataFrame, phrases: DataFrame, *, key: str = "doc_id", text: str = "text", listed: int = LISTED_PHRASES) -> DataFrame:
     """(key, grp, phrase): the phrases (grp, phrase) whose words stand next to each other in a text.
 
-    Texts meet phrases by an equi join on the phrase's first word; the test of the whole phrase runs on those only.
+    Beyond ``listed`` phrases, texts meet them by an equi join on the phrase's first word, which only moves keys and
+    words; the whole phrase is then tested on the texts that have its first word.
     """
-    normed = docs.select(key, norm(F.col(text)).alias("_n")).where("_n <> ''")
-    words = normed.withColumn("_w", F.explode(F.array_distinct(F.split("_n", " "))))
-    wanted = phrases.select("grp", norm(F.col("phrase")).alias("phrase")).where("phrase <> ''").withColumn("_w", F.split("phrase", " ")[0]).distinct()
-    pad = lambda c: F.concat(F.lit(" "), F.col(c), F.lit(" "))
-    return words.join(wanted, "_w").where(F.contains(pad("_n"), pad("phrase"))).select(key, "grp", "phrase").distinct()
+    wanted = phrases.select("grp", norm(F.col("phrase")).alias("phrase")).where("phrase <> ''").distinct()
+    pad = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    normed = docs.select(key, norm(F.col(text)).alias("_n"))
+    few = wanted.orderBy("grp", "phrase").limit(listed + 1).collect()
+    if not few:
+        return normed.join(wanted, F.lit(True)).select(key, "grp", "phrase").limit(0)
+    if len(few) <= listed:
+        known = F.array(*[F.struct(F.lit(r.grp).alias("grp"), F.lit(r.phrase).alias("phrase")) for r in few])
+        padded = normed.select(key, pad(F.col("_n")).alias("_n"))
+        return padded.select(key, F.explode(F.filter(known, lambda p: F.contains(F.col("_n"), pad(p["phrase"])))).alias("_p")).select(key, "_p.grp", "_p.phrase").distinct()
+    first = wanted.withColumn("_w", F.split("phrase", " ")[0])
+    words = normed.select(key, F.explode(F.array_distinct(F.split("_n", " "))).alias("_w"))
+    asked = words.join(first, "_w").groupBy(key).agg(F.collect_set(F.struct("grp", "phrase")).alias("_ps"))
+    tested = normed.select(key, pad(F.col("_n")).alias("_n")).join(asked, key)
+    return tested.select(key, F.explode(F.filter("_ps", lambda p: F.contains(F.col("_n"), pad(p["phrase"])))).alias("_p")).select(key, "_p.grp", "_p.phrase").distinct()
 
 
 def anchored(matches: DataFrame, docs: DataFrame, anchors: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
