@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,33 +43,57 @@ def parse_line(payload: str | None) -> list[tuple[str, str, str]] | None:
         return None
     if not isinstance(top, dict):
         return None
-    out, stack = [], [("", top)]
+    out: dict[str, tuple[str, str]] = {}  # a path once, though a key with a point may name another's member
+    stack = [("", top)]
     while stack:
         prefix, node = stack.pop()
         for k, v in node.items():
             path = prefix + k
             if isinstance(v, dict):
-                out.append((path, "object", ""))
+                out[path] = ("object", "")
                 stack.append((path + ".", v))
             elif isinstance(v, list):
-                out.append((path, "array", json.dumps(v, ensure_ascii=False, separators=(",", ":"))))
+                out[path] = ("array", json.dumps(v, ensure_ascii=False, separators=(",", ":")))
             elif isinstance(v, bool):
-                out.append((path, "boolean", "true" if v else "false"))
+                out[path] = ("boolean", "true" if v else "false")
             elif isinstance(v, (int, float)):
-                out.append((path, "number", repr(v)))
+                out[path] = ("number", repr(v))
             elif v is None:
-                out.append((path, "null", ""))
+                out[path] = ("null", "")
             else:
-                out.append((path, "string", v))
-    return out
+                out[path] = ("string", v)
+    return [(p, *x) for p, x in out.items()]
+
+
+def _text(values: list[str]) -> pa.Array:
+    try:
+        return pa.array(values, pa.string())
+    except UnicodeEncodeError:  # lone surrogates, which JSON can write, have no UTF-8
+        return pa.array([v.encode("utf-8", "replace").decode() for v in values], pa.string())
+
+
+def _parse_batch(payloads: pa.Array) -> pa.Array:
+    """Lists of (path, type, raw) for a batch of lines, null for broken ones."""
+    offsets: list[int | None] = []
+    paths, types, raws = [], [], []
+    for x in payloads.to_pylist():
+        fields = parse_line(x)
+        offsets.append(None if fields is None else len(paths))
+        for path, kind, raw in fields or ():
+            paths.append(path)
+            types.append(kind)
+            raws.append(raw)
+    offsets.append(len(paths))
+    cells = pa.StructArray.from_arrays([_text(paths), pa.array(types, pa.string()), _text(raws)], names=["path", "type", "raw"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), cells)
 
 
 def load_lines(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """``df`` plus ``fields``: an array of (path, type, raw), null for broken lines."""
+    """``df`` plus ``fields``: an array of (path, type, raw), each path once, null for broken lines."""
 
-    @F.pandas_udf(_ENTRY)
-    def parse(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if (p := parse_line(x)) is None else [{"path": a.encode("utf-8", "replace").decode(), "type": b, "raw": c.encode("utf-8", "replace").decode()} for a, b, c in p])
+    @F.arrow_udf(_ENTRY)
+    def parse(a: pa.Array) -> pa.Array:
+        return _parse_batch(a)
 
     return df.withColumn("fields", parse(F.col(payload)))
 
@@ -191,16 +215,20 @@ def schema_changes(df: DataFrame, *, lane: str = "lane", file: str = "receipt_fi
     by_file, profiles = field_statistics(df, lane=lane, file=file, day=day, payload=payload)
     typed = by_file.groupBy("lane", "file", "day", "path").agg(F.array_sort(F.collect_set(F.when(F.col("type") != "null", F.col("type")))).alias("types"))
     typed = typed.withColumn("type", F.when(F.size("types") > 0, F.array_join("types", "+"))).drop("types")
-    order = Window.partitionBy("lane").orderBy("day", "file")
-    files = by_file.select("lane", "file", "day").distinct().withColumn("_i", F.row_number().over(order))
-    at = typed.join(files, ["lane", "file", "day"]).select("lane", "_i", "path", "type")
-    last = files.groupBy("lane").agg(F.max("_i").alias("_last"))
-    after = at.join(last, "lane").where("_i < _last").select("lane", (F.col("_i") + 1).alias("_i"), "path", F.col("type").alias("old_type"), F.lit(True).alias("_was"))
-    both = at.withColumn("_is", F.lit(True)).join(after, ["lane", "_i", "path"], "full_outer").where("_i > 1")
-    diff = both.select(
-        "lane", "_i", "path", "type", "old_type",
-        F.when(F.col("_was").isNull(), "new").when(F.col("_is").isNull(), "gone").when(F.col("type") != F.col("old_type"), "retyped").alias("side"),
-    ).where("side is not null").withColumn("type", F.when(F.col("side") == "gone", F.col("old_type")).otherwise(F.col("type"))).persist()
+    # files of a lane are numbered; a path is new, gone or retyped by its own neighbours in that order: no join
+    lane_, path_ = Window.partitionBy("lane"), Window.partitionBy("lane", "path").orderBy("_i")
+    at = typed.withColumn("_i", F.dense_rank().over(lane_.orderBy("day", "file"))).withColumn("_last", F.max("_i").over(lane_))
+    at = at.withColumns({"_prev": F.lag("_i").over(path_), "_was": F.lag("type").over(path_), "_next": F.lead("_i").over(path_)}).persist()
+    files = at.groupBy("lane", "_i").agg(F.first("file").alias("file"), F.first("day").alias("day"))
+    there = F.coalesce(F.col("_prev") == F.col("_i") - 1, F.lit(False))
+    event = lambda when, side, i, old: F.when(when, F.struct(F.lit(side).alias("side"), i.alias("_i"), old.alias("old_type")))
+    none = F.lit(None).cast("string")
+    events = F.array_compact(F.array(
+        event((F.col("_i") > 1) & ~there, "new", F.col("_i"), none),
+        event(there & (F.col("type") != F.col("_was")), "retyped", F.col("_i"), F.col("_was")),
+        event((F.col("_i") < F.col("_last")) & ~F.coalesce(F.col("_next") == F.col("_i") + 1, F.lit(False)), "gone", F.col("_i") + 1, F.col("type")),
+    ))
+    diff = at.select("lane", "path", "type", F.explode(events).alias("e")).select("lane", "e._i", "path", "type", "e.old_type", "e.side").persist()
     # contents are compared for the pairs of one file and type only
     old = diff.where("side = 'gone'").select("lane", "_i", F.col("path").alias("path"), "type")
     new = diff.where("side = 'new'").select("lane", "_i", F.col("path").alias("other"), "type")
@@ -244,7 +272,7 @@ def consistent_table(df: DataFrame, changes: DataFrame, *, key: str = "raw_id",
     renamed = changes.where("change = 'renamed'").select("lane", "file", "day", "change", "field", "old_field")
     paths = marks.unionByName(renamed).groupBy("lane").applyInPandas(_paths, "lane string, file string, column string, path string")
     wide = paths.groupBy("lane", "file").agg(F.map_from_entries(F.collect_list(F.struct("column", "path"))).alias("paths"))
-    m = load_lines(once).join(wide, ["lane", "file"], "left").withColumn("m", F.map_from_entries(F.transform(F.array_distinct(F.transform("fields", lambda f: f["path"])), lambda p: F.struct(p.alias("path"), F.element_at(F.filter("fields", lambda f: f["path"] == p), -1).alias("f")))))
+    m = load_lines(once).join(wide, ["lane", "file"], "left").withColumn("m", F.map_from_entries(F.transform("fields", lambda f: F.struct(f["path"].alias("path"), f.alias("f")))))
     out, failed = {}, [F.when(F.col("fields").isNull(), F.lit("(line)"))]
     for name, kind in COLUMNS.items():
         path = F.col("paths")[name]
