@@ -118,17 +118,16 @@ def spike_readings(v: np.ndarray, seconds: np.ndarray, step: int, usable: np.nda
     y = y - cycle(y, seconds, step)
     new_instant = np.concatenate([[True], seconds[1:] != seconds[:-1]])
     context = usable & new_instant
-    several = np.flatnonzero(~new_instant)
-    if len(several):  # the value nearest to the readings around stands for an instant with several
-        group = np.cumsum(new_instant) - 1
-        for g in np.unique(group[several]):
-            own = np.flatnonzero(group == g)
-            own = own[usable[own]]
-            context[group == g] = False
-            if len(own):
-                lo, hi = max(0, own[0] - 8), own[-1] + 9
-                near = np.median(y[lo:hi][usable[lo:hi]])
-                context[own[np.argmin(np.abs(y[own] - near))]] = True
+    starts = np.flatnonzero(new_instant)
+    ends = np.append(starts[1:], n)
+    for a, b in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
+        # the value nearest to the readings around stands for an instant with several
+        context[a:b] = False
+        own = a + np.flatnonzero(usable[a:b])
+        if len(own):
+            lo, hi = max(0, own[0] - 8), own[-1] + 9
+            near = np.median(y[lo:hi][usable[lo:hi]])
+            context[own[np.argmin(np.abs(y[own] - near))]] = True
     at = np.flatnonzero(context)
     for _ in range(ROUNDS):
         x = y[at]
