@@ -1,9 +1,10 @@
 """A sample whose shares match given targets over several category margins.
 
-Stratum sizes (one row per target at most, so a bounded table) are raked by iterative proportional fitting to the channel
-margin, the domain margin and the joint targets; each row draws an exponential key with its stratum's weight; the rows
-with the least keys are the sample. Strata under their minimum are then topped up with their next keys, those over their
-target give up their largest ones, and what can't be met is reported.
+Stratum sizes (one row per target at most, so a bounded table) start from the joint targets and are raked by iterative
+proportional fitting to the domain and the channel margin, each stratum between its minimum and what it has: where strata
+are short, others of their channel and domain make up for it. Each row draws an exponential key with its stratum's weight;
+the rows with the least keys are drawn. Strata under their fitted number are then topped up with their next keys, those
+over it give up their largest ones, and what can't be met is reported by stratum, channel and domain.
 """
 
 from __future__ import annotations
@@ -30,20 +31,38 @@ def domain_name(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(c), r"^[\s\u00a0]+|[\s\u00a0]+$", ""), r"^www\.", "")
 
 
-def rake(sizes: np.ndarray, margins: list[tuple[np.ndarray, np.ndarray]], rounds: int = 200, tol: float = 1e-10) -> np.ndarray:
+def scaled(x: np.ndarray, group: np.ndarray, wanted: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """``x`` times one factor per group, each cell kept within low and high, so that the groups sum to ``wanted``.
+
+    A group that can't reach its number stays at its bounds.
+    """
+    have = np.bincount(group, weights=x, minlength=len(wanted))
+    plain = x * np.divide(wanted, have, out=np.zeros_like(have), where=have > 0)[group]
+    if ((plain >= low) & (plain <= high)).all():
+        return plain
+    lo, hi = np.full(len(wanted), -80.0), np.full(len(wanted), 80.0)  # logarithms of the factors
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        over = np.bincount(group, weights=np.clip(x * np.exp(mid)[group], low, high), minlength=len(wanted)) > wanted
+        lo, hi = np.where(over, lo, mid), np.where(over, mid, hi)
+    return np.clip(x * np.exp((lo + hi) / 2)[group], low, high)
+
+
+def rake(sizes: np.ndarray, margins: list[tuple[np.ndarray, np.ndarray]], rounds: int = 200, tol: float = 1e-10, *, start: np.ndarray | None = None, low: np.ndarray | None = None, high: np.ndarray | None = None) -> np.ndarray:
     """Weights per cell by iterative proportional fitting: ``sizes`` times weights meets every margin as far as cells allow.
 
-    margins: (group of each cell, wanted total of each group). Empty groups stay empty.
+    margins: (group of each cell, wanted total of each group). Empty groups stay empty. start, low, high: first numbers
+    of the cells and their bounds; where the margins can't be met together within these, the last one is.
     """
-    weight = np.ones(len(sizes))
+    low, high = np.zeros(len(sizes)) if low is None else low, np.full(len(sizes), np.inf) if high is None else high
+    x = np.clip(sizes if start is None else start, low, high)
     for _ in range(rounds):
-        before = weight.copy()
+        before = x
         for group, wanted in margins:
-            have = np.bincount(group, weights=sizes * weight, minlength=len(wanted))
-            weight = weight * np.divide(wanted, have, out=np.zeros_like(have), where=have > 0)[group]
-        if np.abs(weight - before).max(initial=0) <= tol * max(1.0, np.abs(weight).max(initial=0)):
+            x = scaled(x, group, wanted, low, high)
+        if np.abs(x - before).max(initial=0) <= tol * max(1.0, x.max(initial=0)):
             break
-    return weight
+    return np.divide(x, sizes, out=np.zeros(len(x)), where=sizes > 0)
 
 
 def half_up(x: float) -> int:
@@ -51,20 +70,26 @@ def half_up(x: float) -> int:
     return math.floor(round(x, 9) + 0.5)
 
 
-def repair(drawn: list[int], wanted: list[int], available: list[int], total: int) -> list[int]:
-    """Rows to keep per stratum: at least min(wanted, available) each; the rest of ``total`` goes to the drawn surplus."""
-    least = [min(w, a) for w, a in zip(wanted, available, strict=True)]
-    keep = list(least)
-    spare = max(0, total - sum(keep))
-    extra = [max(0, min(d, a) - k) for d, a, k in zip(drawn, available, keep, strict=True)]
-    room = sum(extra)
-    if room and spare:
-        part = [min(e, e * spare // room) for e in extra]
-        for i in sorted(range(len(part)), key=lambda i: (-(extra[i] - part[i]), i)):
-            if sum(part) < spare and part[i] < extra[i]:
-                part[i] += 1
-        keep = [k + p for k, p in zip(keep, part, strict=True)]
-    return keep
+def attainable(joint: np.ndarray, group: np.ndarray, low: np.ndarray, high: np.ndarray, total: float) -> np.ndarray:
+    """The margin of ``joint`` within what the groups can give; what a group can't hold goes to the others in proportion."""
+    wanted, least, most = (np.bincount(group, weights=v) for v in (joint, low, high))
+    return scaled(wanted, np.zeros(len(wanted), int), np.array([total]), least, most)
+
+
+def rounded(x: np.ndarray, group: np.ndarray, total: int) -> list[int]:
+    """Whole numbers next to ``x`` that sum to ``total`` if ``x`` does, and by group to a whole number next to its sum: largest remainders first."""
+
+    def up(parts: np.ndarray, most: int) -> np.ndarray:
+        whole = np.floor(parts + 1e-6)
+        rest = parts - whole
+        at = sorted(np.flatnonzero(rest > 1e-6), key=lambda i: (-round(rest[i], 9), i))[: max(0, most - int(whole.sum()))]
+        whole[at] += 1
+        return whole
+
+    out = np.zeros(len(x))
+    for g, n in enumerate(up(np.bincount(group, weights=x), total)):
+        out[group == g] = up(x[group == g], int(n))
+    return [int(v) for v in out]
 
 
 def stratified_sample(
@@ -80,7 +105,10 @@ def stratified_sample(
 
     sample: (row, target_id, weight, sample_key). report: one row per target with available, wanted (the larger of
     min_rows and target_share x sample_rows rounded half up), drawn (before repair), sampled, short (wanted - available,
-    if positive), target_share, sample_share, residual.
+    if positive), target_share, sample_share, residual, and the residuals of its whole channel and domain.
+
+    A stratum gives at least wanted or all it has. The rest of sample_rows goes where channels and domains are short; the
+    channel margin goes first where both can't be met.
 
     A row belongs to the target of its channel and domain, ``(other)`` standing for every domain that no target names;
     with either null, or without such a target, to none. Copies count as rows. Targets must be at most MAX_TARGETS and
@@ -108,14 +136,21 @@ def stratified_sample(
     share = np.array([x.target_share or 0.0 for x in t])
     wanted = [max(int(x.min_rows or 0), half_up(s * total)) for x, s in zip(t, share, strict=True)]
 
-    def margin(labels: list) -> tuple[np.ndarray, np.ndarray]:
+    def grouped(labels: list) -> np.ndarray:
         at = {v: i for i, v in enumerate(dict.fromkeys(labels))}
-        group = np.array([at[v] for v in labels], dtype=int)
-        return group, np.bincount(group, weights=share * total, minlength=len(at))
+        return np.array([at[v] for v in labels], dtype=int)
 
-    weight = np.zeros(0)
+    by_channel, by_domain = grouped([x.channel for x in t]), grouped([x.domain for x in t])
+    high = np.array(available, float)
+    low = np.minimum(np.array(wanted, float), high)
+    goal = int(max(low.sum(), min(total, high.sum())))
+    weight, kept = np.zeros(0), []
     if t:
-        weight = rake(np.array(available, float), [margin([x.channel for x in t]), margin([x.domain for x in t]), margin([x.target_id for x in t])])
+        # a stratum without a share gives its minimum, and more only if all others are used up
+        joint = np.where(share > 0, share * total, 1e-12)
+        aims = [(g, attainable(joint, g, low, high, goal)) for g in (by_domain, by_channel)]
+        weight = rake(high, aims, start=joint, low=low, high=high)
+        kept = rounded(weight * high, by_channel, goal)
     weights = spark.createDataFrame([(x.target_id, float(w)) for x, w in zip(t, weight, strict=True)], "target_id bigint, weight double")
     u = (F.pmod(F.xxhash64(F.lit(seed), F.col("row")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     keyed = rows.join(F.broadcast(weights), "target_id").where("weight > 0").withColumn("sample_key", -F.log(u) / F.col("weight"))
@@ -126,13 +161,14 @@ def stratified_sample(
     ranked = ranked.withColumn("rank", F.expr("row_number() over (partition by target_id order by sample_key, row)")).where(F.col("rank") <= most).select("row", "target_id", "weight", "sample_key", "rank").persist()
     drawn_by = {x.target_id: x["count"] for x in ranked.orderBy("sample_key", "row").limit(total).groupBy("target_id").count().collect()}
     drawn = [drawn_by.get(x.target_id, 0) for x in t]
-    kept = repair(drawn, wanted, available, total)
     quota = spark.createDataFrame([(x.target_id, k) for x, k in zip(t, kept, strict=True)], "target_id bigint, _keep bigint")
     sample = ranked.join(F.broadcast(quota), "target_id").where("rank <= _keep").select("row", "target_id", "weight", "sample_key")
     n = sum(kept)
-    schema = T.StructType.fromDDL("target_id bigint, channel string, domain string, target_share double, min_rows bigint, available bigint, wanted bigint, drawn bigint, sampled bigint, short bigint, sample_share double, residual double")
+    residual = share - np.array(kept, float) / max(n, 1)
+    margins = [np.bincount(g, weights=residual)[g].tolist() if t else [] for g in (by_channel, by_domain)]
+    schema = T.StructType.fromDDL("target_id bigint, channel string, domain string, target_share double, min_rows bigint, available bigint, wanted bigint, drawn bigint, sampled bigint, short bigint, sample_share double, residual double, channel_residual double, domain_residual double")
     report = spark.createDataFrame(
-        [(x.target_id, x.channel, x.domain, float(s), x.min_rows, a, w, d, k, max(0, w - a), (k / n if n else 0.0), float(s) - (k / n if n else 0.0)) for x, s, a, w, d, k in zip(t, share, available, wanted, drawn, kept, strict=True)],
+        [(x.target_id, x.channel, x.domain, float(s), x.min_rows, a, w, d, k, max(0, w - a), (k / n if n else 0.0), float(r), c, o) for x, s, a, w, d, k, r, c, o in zip(t, share, available, wanted, drawn, kept, residual, *margins, strict=True)],
         schema,
     )
     return sample, report

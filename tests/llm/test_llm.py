@@ -57,6 +57,29 @@ def test_sample_keeps_minimums_and_reports_gaps(spark):
     assert sampling.stratified_sample(df, targets.limit(0))[1].count() == 0
 
 
+def test_short_strata_are_made_up_for_within_their_channel_and_domain(spark):
+    have = {("a", "x"): 400, ("a", "y"): 400, ("a", "z"): 400, ("b", "x"): 2, ("b", "y"): 300, ("b", "z"): 60, ("c", "x"): 300, ("c", "y"): 4}
+    rows = [(1000 * k + i, c, d, "", 0.0, "") for k, ((c, d), n) in enumerate(have.items()) for i in range(n)]
+    shares = {("a", "x"): 0.1, ("a", "y"): 0.1, ("a", "z"): 0.1, ("b", "x"): 0.2, ("b", "y"): 0.1, ("b", "z"): 0.1, ("c", "x"): 0.1, ("c", "y"): 0.1, ("c", "z"): 0.1}
+    targets = spark.createDataFrame([(k, c, d, s, 5, 400) for k, ((c, d), s) in enumerate(shares.items())], "target_id bigint, channel string, domain string, target_share double, min_rows int, sample_rows int")
+    sample, report = sampling.stratified_sample(spark.createDataFrame(rows, SHEET), targets)
+    r = report.collect()
+    assert sample.select("row").distinct().count() == sum(x.sampled for x in r) == 400
+    assert all(min(x.wanted, x.available) <= x.sampled <= x.available for x in r)
+    by = lambda part: {v: sum(x.sampled for x in r if x[part] == v) for v in {x[part] for x in r}}
+    assert by("channel") == {"a": 120, "b": 160, "c": 120}
+    assert all(abs(x.channel_residual) < 1e-12 for x in r)
+    assert all(abs(x.domain_residual - sum(y.residual for y in r if y.domain == x.domain)) < 1e-12 for x in r)
+
+
+def test_weights_meet_bounded_margins():
+    rows, cols = np.array([0, 0, 1, 1]), np.array([0, 1, 0, 1])
+    high = np.array([3.0, 100.0, 100.0, 100.0])
+    x = high * sampling.rake(high, [(cols, np.array([50.0, 50.0])), (rows, np.array([40.0, 60.0]))], start=np.array([20.0, 20.0, 30.0, 30.0]), low=np.array([3.0, 20.0, 30.0, 0.0]), high=high)
+    assert np.allclose(x, [3, 37, 47, 13], atol=1e-4)
+    assert sampling.rounded(np.array([0.5, 1.5, 2.25, 0.75]), rows, 5) == [1, 1, 2, 1]
+
+
 # p5
 
 SHEET5 = "sheet_row bigint, title string, url string, key string, n bigint, ids string, bucket string"
