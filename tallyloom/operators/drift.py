@@ -243,49 +243,142 @@ def schema_changes(df: DataFrame, *, lane: str = "lane", file: str = "receipt_fi
     return rows.join(files, ["lane", "_i"]).groupBy("lane", "file", "day").applyInPandas(_changes, _CHANGES)
 
 
-#: Types of the projected columns by the name a field had first.
+#: Columns that are always there, with their types by the name a field had first; all others come from the statistics.
 COLUMNS = {"schema_version": "string", "status": "string", "receipt_id": "string", "target_date": "date", "source": "string", "rows_appended": "bigint", "prefix_equal": "boolean", "values_published": "boolean"}
+#: More distinct fields than this, renames counted once, are no table.
+MAX_COLUMNS = 2_000
 
 
-def _paths(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """For one lane, by file: the path that holds each column."""
-    pdf = pdf.sort_values(["day", "file"], kind="stable")
-    now, rows = {c: c for c in COLUMNS}, []
-    for (day, file), part in pdf.groupby(["day", "file"], sort=True):
-        moves = {o: f for c, f, o in zip(part["change"], part["field"], part["old_field"], strict=True) if c == "renamed"}
-        now = {c: moves.get(p, p) for c, p in now.items()}
-        rows += [(key[0], file, c, p) for c, p in now.items()]
-    return pd.DataFrame(rows, columns=["lane", "file", "column", "path"])
+def name_fields(pdf: pd.DataFrame) -> list[str | None]:
+    """For one lane, the name of each row's path: the one it had first, through all renames; no two paths of a file share one.
 
+    pdf: day, file, path, old_path; old_path where the file renames the path. Members of a renamed object go with it. A
+    path whose name is held by another of its file gets a number behind it.
+    """
+    rows: dict[tuple[str, str], dict[str, list[int]]] = {}
+    moves: dict[tuple[str, str], dict[str, str]] = {}
+    for i, (day, file, path, old) in enumerate(zip(pdf["day"], pdf["file"], pdf["path"], pdf["old_path"], strict=True)):
+        at = (day or "", file or "")
+        if isinstance(old, str):
+            moves.setdefault(at, {})[path] = old
+        else:
+            rows.setdefault(at, {}).setdefault(path, []).append(i)
+    names: list[str | None] = [None] * len(pdf)
+    first: dict[str, str] = {}
+    for at in sorted(rows):
+        moved = {new: first.get(old, old) for new, old in moves.get(at, {}).items()}
+        first = {p: n for p, n in first.items() if p not in moves.get(at, {}).values()} | moved
+        taken: set[str] = set()
+        for path in sorted(rows[at], key=lambda p: (p not in moved, p not in first, p.count("."), p)):
+            parent, _, leaf = path.rpartition(".")
+            base = name = first.get(path) or (f"{first.get(parent, parent)}.{leaf}" if parent else path)
+            k = 1
+            while name in taken:
+                k += 1
+                name = f"{base}#{k}"
+            taken.add(name)
+            first[path] = name
+            for i in rows[at][path]:
+                names[i] = name
+    return names
+
+
+def _named(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.assign(name=name_fields(pdf))
+    return pdf[pdf["name"].notna()][["lane", "file", "path", "name", "type", "n", "n_whole", "n_day"]]
+
+
+def column_kinds(stats: list[tuple[str, str, int, int, int]]) -> dict[str, str]:
+    """{name: type}: COLUMNS first, then by name, from (name, type of values, lines, whole numbers, days).
+
+    The most frequent type that isn't null counts: number gives bigint if all of them are whole, else double, string gives
+    date if more than half are days, array gives array<string>. A name with nulls only is a string.
+    """
+    by: dict[str, list[tuple[int, str, int, int]]] = {}
+    for name, kind, n, whole, days in stats:
+        by.setdefault(name, [])
+        if kind != "null":
+            by[name].append((-n, kind, whole, days))
+    kinds = dict(COLUMNS)
+    for name in sorted(by):
+        n, kind, whole, days = min(by[name], default=(0, "string", 0, 0))
+        derived = {"number": "bigint" if whole == -n else "double", "string": "date" if days * 2 > -n else "string", "array": "array<string>"}.get(kind, kind)
+        kinds.setdefault(name, derived)
+    return kinds
+
+
+def column_labels(names: list[str], taken: set[str]) -> dict[str, str]:
+    """{name: column}, distinct from each other and from ``taken`` without regard to case: later ones get a number."""
+    out, taken = {}, {t.lower() for t in taken}
+    for name in names:
+        label, k = name, 1
+        while label.lower() in taken:
+            k += 1
+            label = f"{name}#{k}"
+        taken.add(label.lower())
+        out[name] = label
+    return out
 
-def consistent_table(df: DataFrame, changes: DataFrame, *, key: str = "raw_id", lane: str = "lane", file: str = "receipt_file", day: str = "file_date", line: str = "line_no", arrived: str = "arrived_at", payload: str = "payload") -> DataFrame:
-    """(key, lane, file, day, line, columns of COLUMNS ..., failed): every receipt once, under one schema.
 
-    Of a line delivered several times the last arrival counts. A column follows the renames of its lane from the name in
-    COLUMNS on; where that path is an object, its member ``code``, or major and minor joined by a point. ``failed`` lists
-    the columns whose value is there but doesn't fit the type; such cells are null. Broken lines have null in all columns
-    and ``failed`` = ['(line)'].
+def consistent_table(df: DataFrame, changes: DataFrame, *, key: str = "raw_id", lane: str = "lane", file: str = "receipt_file", day: str = "file_date", line: str = "line_no", arrived: str = "arrived_at", payload: str = "payload") -> DataFrame:
+    """(key, lane, file, day, line, one column per field ..., failed, failed_values): every receipt once, under one schema.
+
+    Of a line delivered several times the last arrival counts. A column follows the renames of its lane and bears the name
+    the field had first (a dotted path for members; with a number behind it where another column differs in case only);
+    its type is that of COLUMNS, else of most of its values, see ``column_kinds``. The fields are found by one aggregate
+    over all files and are at most MAX_COLUMNS. Where a column of single values meets an object, it takes the member
+    ``code``, or major and minor joined by a point, and of an array its only item. Objects have no column of their own,
+    their members have.
+    ``failed`` lists the columns whose value is there but doesn't fit the type; such cells are null and their raw text is
+    in ``failed_values``. Broken lines have null in all columns, ``failed`` = ['(line)'] and the line in ``failed_values``.
     """
     rows = df.select(F.col(key).alias("key"), F.col(lane).alias("lane"), F.col(file).alias("file"), F.col(day).alias("day"), F.col(line).alias("line"), F.col(arrived).alias("arrived"), F.col(payload).alias("payload"))
     once = rows.groupBy("lane", "file", "line", "day").agg(F.max_by(F.struct("key", "payload"), F.struct("arrived", "key")).alias("r")).select("r.key", "lane", "file", "day", "line", "r.payload")
-    marks = once.select("lane", "file", "day").distinct().select("lane", "file", "day", F.lit("").alias("change"), F.lit("").alias("field"), F.lit("").alias("old_field"))
-    renamed = changes.where("change = 'renamed'").select("lane", "file", "day", "change", "field", "old_field")
-    paths = marks.unionByName(renamed).groupBy("lane").applyInPandas(_paths, "lane string, file string, column string, path string")
-    wide = paths.groupBy("lane", "file").agg(F.map_from_entries(F.collect_list(F.struct("column", "path"))).alias("paths"))
-    m = load_lines(once).join(wide, ["lane", "file"], "left").withColumn("m", F.map_from_entries(F.transform("fields", lambda f: F.struct(f["path"].alias("path"), f.alias("f")))))
-    out, failed = {}, [F.when(F.col("fields").isNull(), F.lit("(line)"))]
-    for name, kind in COLUMNS.items():
-        path = F.col("paths")[name]
-        at = F.col("m")[path]
-        inner = F.coalesce(F.col("m")[F.concat(path, F.lit(".code"))]["raw"], F.concat_ws(".", F.col("m")[F.concat(path, F.lit(".major"))]["raw"], F.col("m")[F.concat(path, F.lit(".minor"))]["raw"]))
-        first = F.get(F.from_json(at["raw"], "array<string>"), F.lit(0))
-        raw = F.when(at["type"] == "object", F.when(F.length(inner) > 0, inner)).when(at["type"] == "array", first).when(at["type"] != "null", at["raw"])
-        if kind == "boolean":
-            raw_cast = F.when(F.lower(raw).isin("yes", "y", "1", "true"), F.lit(True)).when(F.lower(raw).isin("no", "n", "0", "false"), F.lit(False))
-        elif kind == "date":
-            raw_cast = F.coalesce(F.try_to_timestamp(raw, F.lit("yyyy-MM-dd")), F.try_to_timestamp(raw, F.lit("yyyyMMdd"))).cast("date")
+    # the paths of all files, with the renames among them
+    raw, digits = F.col("raw"), F.regexp_replace("raw", "-", "")
+    whole = F.when(F.col("type") == "number", raw.try_cast("bigint").isNotNull())
+    is_day = F.when((F.col("type") == "string") & raw.rlike(r"^(\d{4}-\d\d-\d\d|\d{8})$"), F.try_to_timestamp(digits, F.lit("yyyyMMdd")).isNotNull())
+    cells = load_lines(rows).select("lane", "file", "day", F.explode("fields").alias("f")).select("lane", "file", "day", "f.path", "f.type", "f.raw")
+    counted = cells.groupBy("lane", "file", "day", "path", "type").agg(F.count(F.lit(1)).alias("n"), F.count_if(whole).alias("n_whole"), F.count_if(is_day).alias("n_day")).withColumn("old_path", F.lit(None).cast("string"))
+    renamed = changes.where("change = 'renamed'").select("lane", "file", "day", F.col("field").alias("path"), F.col("old_field").alias("old_path"))
+    named = counted.unionByName(renamed, allowMissingColumns=True).groupBy("lane").applyInPandas(_named, "lane string, file string, path string, name string, type string, n bigint, n_whole bigint, n_day bigint").persist()
+    most = named.groupBy("name", "type").agg(F.sum("n"), F.sum("n_whole"), F.sum("n_day")).limit(6 * MAX_COLUMNS + 1).collect()
+    kinds = column_kinds([tuple(x) for x in most])
+    if len(kinds) > MAX_COLUMNS or len(most) > 6 * MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} fields")
+    labels = column_labels(list(kinds), {key, "lane", "file", "day", "line", "failed", "failed_values"})
+    types: dict[str, set[str]] = {}
+    for x in most:
+        types.setdefault(x["name"], set()).add(x["type"])
+    # each name once a line: a file's names are distinct, and renames change with the file only
+    wide = named.where("path <> name").select("lane", "file", "path", "name").distinct().groupBy("lane", "file").agg(F.map_from_entries(F.collect_list(F.struct("path", "name"))).alias("names"))
+    own = lambda f: F.coalesce(F.col("names")[f["path"]], f["path"])
+    m = load_lines(once).join(wide, ["lane", "file"], "left").withColumn("m", F.map_from_entries(F.transform("fields", lambda f: F.struct(own(f).alias("path"), f.alias("f")))))
+    out, bad = {}, [F.when(F.col("fields").isNull(), F.struct(F.lit("(line)").alias("column"), F.col("payload").alias("raw")))]
+    for name, kind in kinds.items():
+        at, has = F.col("m")[F.lit(name)], types.get(name, set())
+        value = F.when(~at["type"].isin("null", "object", "array"), at["raw"])
+        if kind == "object":
+            cast = F.when(at["type"] == "object", F.lit(True))
+        elif kind.startswith("array"):
+            cast = F.when(at["type"] == "array", F.from_json(at["raw"], kind))
         else:
-            raw_cast = raw.try_cast(kind)
-        out[name] = raw_cast
-        failed.append(F.when(raw.isNotNull() & raw_cast.isNull(), F.lit(name)))
-    return m.select("key", "lane", "file", "day", "line", *[c.alias(n) for n, c in out.items()], F.array_compact(F.array(*failed)).alias("failed")).withColumnRenamed("key", key)
+            if "object" in has:
+                part = lambda leaf, name=name: F.col("m")[F.lit(f"{name}.{leaf}")]["raw"]
+                inner = F.coalesce(part("code"), F.concat_ws(".", part("major"), part("minor")))
+                value = F.when(at["type"] == "object", F.when(F.length(inner) > 0, inner)).otherwise(value)
+            if "array" in has:
+                items = F.from_json(at["raw"], "array<string>")
+                value = F.when(at["type"] == "array", F.when(F.size(items) == 1, F.get(items, F.lit(0)))).otherwise(value)
+            if kind == "boolean":
+                cast = F.when(F.lower(value).isin("yes", "y", "1", "true"), F.lit(True)).when(F.lower(value).isin("no", "n", "0", "false"), F.lit(False))
+            elif kind == "date":
+                cast = F.coalesce(F.try_to_timestamp(value, F.lit("yyyy-MM-dd")), F.try_to_timestamp(value, F.lit("yyyyMMdd"))).cast("date")
+            else:
+                cast = value.try_cast(kind)
+        if kind != "object":
+            out[name] = cast.alias(labels[name])
+        if has - {"null", "object" if kind == "object" else ""}:
+            bad.append(F.when((at["type"] != "null") & cast.isNull(), F.struct(F.lit(labels[name]).alias("column"), at["raw"].alias("raw"))))
+    table = m.select(F.col("key").alias(key), "lane", "file", "day", "line", *out.values(), F.array_compact(F.array(*bad)).alias("failed"))
+    return table.withColumns({"failed": F.transform("failed", lambda b: b["column"]), "failed_values": F.map_from_entries("failed")})

@@ -73,6 +73,36 @@ def test_consistent_table(spark):
     assert rows[5].rows_appended == 2 and rows[5].status == "ok" and rows[5].failed == ["target_date"] and rows[5].target_date is None
 
 
+def test_consistent_table_has_every_field(spark):
+    one, two = "2026-01-01", "2026-01-02"
+    before = [line(i, one, frame={"n_samples": 40 + i, "ratio": 0.5 + i}, age_days=100 + i, labels=["a", "b"], reviewed=f"2026-05-1{i}", checks=None, Key="k", key="x") for i in range(6)]
+    after = [line(i, two, Frame={"n_samples": 40 + i, "ratio": 0.5 + i, "more": [1, {"x": 2}]}, age_days=str(100 + i) if i else "old", labels="a;b" if i else ["c"], reviewed=20260510 + i if i else "2026-05-10", checks={"passed": i}, Key=["k", "l"] if i else "k") | {"day": "mon"} for i in range(6)]
+    df = table(spark, [(one, before), (two, after)])
+    t = drift.consistent_table(df, drift.schema_changes(df))
+    kinds = dict(t.dtypes)
+    assert {c: kinds[c] for c in ("frame.n_samples", "frame.ratio", "frame.more", "age_days", "labels", "reviewed", "checks.passed", "rows", "day#2", "Key", "key#2")} == {
+        "frame.n_samples": "bigint", "frame.ratio": "double", "frame.more": "array<string>", "age_days": "bigint", "labels": "array<string>", "reviewed": "date", "checks.passed": "bigint", "rows": "bigint", "day#2": "string", "Key": "string", "key#2": "string",
+    }
+    assert len({c.lower() for c in t.columns}) == len(t.columns) and not {"frame", "Frame", "checks"} & set(t.columns)
+    rows = {r.raw_id: r for r in t.collect()}
+    for i, r in rows.items():
+        assert (r["frame.n_samples"], r["frame.ratio"], str(r["reviewed"])) == (40 + i % 6, 0.5 + i % 6, f"2026-05-1{i % 6}")
+    assert (rows[1]["age_days"], rows[1]["labels"], rows[1]["key#2"], rows[1]["failed"]) == (101, ["a", "b"], "x", [])
+    assert (rows[6]["frame.more"], rows[6]["labels"], rows[6]["checks.passed"], rows[6]["day#2"]) == (["1", '{"x":2}'], ["c"], 0, "mon")
+    assert rows[6]["failed_values"] == {"age_days": "old"} and rows[7]["failed_values"] == {"labels": "a;b", "Key": '["k","l"]'}
+    assert (rows[6]["age_days"], rows[7]["age_days"], rows[7]["labels"]) == (None, 101, None)
+
+
+def test_names_follow_renames_and_stay_distinct():
+    import pandas as pd
+
+    moves = [("2", "state", "status"), ("2", "Frame", "frame"), ("3", "outcome", "state")]
+    paths = [("1", "status"), ("1", "frame"), ("1", "frame.n"), ("2", "state"), ("2", "Frame"), ("2", "Frame.n"), ("3", "outcome"), ("3", "status"), ("3", "state"), ("4", "state"), ("4", "status")]
+    pdf = pd.DataFrame([(d, d, p, None) for d, p in paths] + [(d, d, p, o) for d, p, o in moves], columns=["day", "file", "path", "old_path"])
+    got = drift.name_fields(pdf)
+    assert got == ["status", "frame", "frame.n", "status", "frame", "frame.n", "status", "status#2", "state", "state", "status#2"] + [None] * 3
+
+
 def test_name_agreement():
     assert drift.name_agreement("rows_appended", "rowsAppended") == 1.0
     assert drift.name_agreement("frame.store_sha256", "store_sha256") == 1.0
