@@ -10,14 +10,24 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
+#: Rows of a list that is broadcast whole; a longer one is an error, never cut.
+MAX_LISTED = 1_000
+
+
+def _listed(rows: DataFrame, what: str) -> DataFrame:
+    if rows.limit(MAX_LISTED + 1).count() > MAX_LISTED:
+        raise ValueError(f"more than {MAX_LISTED} {what}")
+    return F.broadcast(rows)
+
+
 def effective(on: Column, start: Column, end: Column) -> Column:
     """Why a record isn't in force on a day (not_yet, expired), or null if it is; open ends are null."""
     return F.when(start > on, "not_yet").when(end < on, "expired")
 
 
 def as_of(releases: DataFrame, cutoffs: DataFrame, keys: list[str], *, time: str = "available_at", order: str = "sequence") -> DataFrame:
-    """For each cutoff (cutoff) and key the last release available by then. Cutoffs are a short list, one row each."""
-    some = releases.join(F.broadcast(cutoffs.limit(1000)), F.col(time) <= F.col("cutoff"))
+    """For each cutoff (cutoff) and key the last release available by then. Cutoffs are at most MAX_LISTED, one row each."""
+    some = releases.join(_listed(cutoffs, "cutoffs"), F.col(time) <= F.col("cutoff"))
     return some.groupBy("cutoff", *keys).agg(F.max_by(F.struct(*[c for c in releases.columns if c not in keys]), F.struct(time, order)).alias("_r")).select("cutoff", *keys, "_r.*")
 
 
@@ -83,10 +93,10 @@ def shock_grid(edges: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Interval arithmetic of a shock passed on by an edge, in decimals; the least residual takes the most substitution.
 
     edges: (edge_id, lo, hi); scenarios: (scenario, shock_lo, shock_hi, sub_lo, sub_hi, days_lo, days_hi, buffer_lo,
-    buffer_hi), a short list that every edge meets.
+    buffer_hi), at most MAX_LISTED rows, which every edge meets.
     """
     d = lambda c: F.col(c).cast("decimal(18,6)")
-    j = edges.join(F.broadcast(scenarios.limit(1000)), F.lit(True))
+    j = edges.join(_listed(scenarios, "scenarios"), F.lit(True))
     gross_lo, gross_hi = d("lo") * d("shock_lo") / 100, d("hi") * d("shock_hi") / 100
     out = lambda c: F.round(c, 6).cast("decimal(18,6)")
     return j.select(

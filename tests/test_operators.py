@@ -247,3 +247,13 @@ def test_store_merges(spark):
 def test_coverage_refusal(spark):
     m = series.monthly(long(spark, [1.0] * 14, start=19_723), floor=0.8).collect()
     assert m[0]["mean"] is None and m[0].reason == "below the 80% floor" and m[0].n == 14
+
+
+def test_long_lists_of_cutoffs_and_scenarios_are_errors(spark):
+    releases = spark.createDataFrame([("k", 1, 1, 7)], "id string, available_at int, sequence int, value int")
+    cutoffs = spark.range(1, 1002).select(F.col("id").cast("int").alias("cutoff"))
+    assert evidence.as_of(releases, cutoffs.limit(1000), ["id"]).count() == 1000
+    with pytest.raises(ValueError, match="cutoffs"):
+        evidence.as_of(releases, cutoffs, ["id"])
+    with pytest.raises(ValueError, match="scenarios"):
+        evidence.shock_grid(spark.range(1), cutoffs)
