@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import pairwise
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,10 +89,22 @@ def concentration(df: DataFrame, period: list[str], member: str, top: int = 10)
     return ranked.join(totals, period).groupBy(*period, "members").agg(F.sum(F.pow(F.col("_n") / F.col("_t"), F.lit(2.0))).alias("hhi"))
 
 
+#: Owners that sets are compared of; the sets themselves may be of any size.
+MAX_OWNERS = 10_000
+
+
 def set_similarity(members: DataFrame, owner: str, item: str) -> DataFrame:
-    """(a, b, common, either, jaccard) for the pairs a < b of owners that share an item; ``members`` is distinct."""
-    sizes = members.groupBy(owner).agg(F.count(F.lit(1)).alias("_n"))
-    pairs = members.select(F.col(owner).alias("a"), item).join(members.select(F.col(owner).alias("b"), item), item).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+    """(a, b, common, either, jaccard) for the pairs a < b of owners that share an item; ``members`` is distinct.
+
+    Items are first counted by the set of their owners, so that pairs are formed once for each such set and not for each
+    item. More than MAX_OWNERS owners are an error.
+    """
+    sizes = members.where(F.col(owner).isNotNull()).groupBy(owner).agg(F.count(F.lit(1)).alias("_n")).persist()
+    if sizes.limit(MAX_OWNERS + 1).count() > MAX_OWNERS:
+        raise ValueError(f"more than {MAX_OWNERS} owners")
+    sets = members.where(F.col(item).isNotNull()).groupBy(item).agg(F.sort_array(F.collect_set(owner)).alias("_set")).groupBy("_set").agg(F.count(F.lit(1)).alias("_items"))
+    firsts = sets.select("_set", "_items", F.posexplode("_set").alias("_i", "a"))
+    pairs = firsts.select("a", F.explode(F.slice("_set", F.col("_i") + 2, F.size("_set"))).alias("b"), "_items").groupBy("a", "b").agg(F.sum("_items").alias("common"))
     j = pairs.join(sizes.select(F.col(owner).alias("a"), F.col("_n").alias("_na")), "a").join(sizes.select(F.col(owner).alias("b"), F.col("_n").alias("_nb")), "b")
     return j.select("a", "b", "common", (F.col("_na") + F.col("_nb") - F.col("common")).alias("either")).withColumn("jaccard", F.col("common") / F.col("either"))
 
@@ -104,19 +120,29 @@ def hash_rank_sample(df: DataFrame, strata: list[str], key: str, n: int, seed: s
 def compose_queries(terms: list[str], anchor: str | None = None, budget: int = 230) -> list[str]:
     """Terms joined by OR into as few queries as their order allows, each at most ``budget`` characters, the anchor before it.
 
-    Raises ValueError if a term alone is too long.
+    Raises ValueError if a term alone is too long. Each query's end is looked up in the running lengths of the terms.
     """
-    def text(part: list[str]) -> str:
-        body = f"({' OR '.join(part)})" if len(part) > 1 or anchor else f"({part[0]})"
-        return f"{anchor} {body}" if anchor else body
-
-    out: list[str] = []
-    part: list[str] = []
-    for term in terms:
-        if len(text([term])) > budget:
-            raise ValueError(f"term too long: {term[:40]}")
-        if part and len(text([*part, term])) > budget:
-            out.append(text(part))
-            part = []
-        part.append(term)
-    return [*out, text(part)] if part else out
+    head = f"{anchor} (" if anchor else "("
+    room = budget - len(head) - len(")")
+    reach = np.cumsum([0, *(len(t) + len(" OR ") for t in terms)])
+    ends = np.searchsorted(reach, reach[:-1] + room + len(" OR "), side="right") - 1  # of a query from each term on
+    if (stuck := np.flatnonzero(ends <= np.arange(len(terms)))).size:
+        raise ValueError(f"term too long: {terms[stuck[0]][:40]}")
+    cuts = [0]
+    while cuts[-1] < len(terms):
+        cuts.append(int(ends[cuts[-1]]))
+    return [f"{head}{' OR '.join(terms[i:j])})" for i, j in pairwise(cuts)]
+
+
+@F.udtf(returnType="part int, query string")
+class ComposeQueries:
+    """Table function (terms, anchor, budget) -> (part, query): one row for each query of a list of terms."""
+
+    def eval(self, terms: list[str], anchor: str | None, budget: int) -> Iterator[tuple[int, str]]:
+        yield from enumerate(compose_queries(list(terms or ()), anchor, budget))
+
+
+def composed(groups: DataFrame, *, terms: str = "terms", anchor: str = "anchor", budget: int = 230) -> DataFrame:
+    """``groups`` without its terms plus (part, query); a group without terms has no rows."""
+    calls = ComposeQueries(F.col(terms).outer(), F.col(anchor).outer(), F.lit(budget))
+    return groups.lateralJoin(calls).drop(terms, anchor)

@@ -65,15 +65,24 @@ def chance_rate(series: DataFrame, intervals: DataFrame, *, days: int = 3) -> Da
 
 def placement_overlap(series: DataFrame, intervals: DataFrame) -> DataFrame:
     """(channel, start_k, end_k, n_starts, n_hits): of all placements of an interval's length within the channel's span,
-    how many share a day with another channel's interval."""
+    how many share a day with another channel's interval.
+
+    Placements are not spelled out: one without a hit lies in a stretch of days free of other channels' intervals, and a
+    stretch of g days holds max(0, g - length) of them. Stretches are counted by their length, in each channel.
+    """
     span = series.groupBy("channel").agg(F.min("k").alias("_lo"), F.max("k").alias("_hi"))
-    marked = each_day(intervals).select(F.col("channel").alias("_other"), "k").distinct()
+    # who is marked on a day: one channel or several; one row a day
+    marked = each_day(intervals).groupBy("k").agg(F.min("channel").alias("_only"), (F.min("channel") < F.max("channel")).alias("_several"))
+    taken = each_day(span, "_lo", "_hi").select("channel", "_lo", "_hi", "k").join(marked, "k").where(F.col("_several") | (F.col("_only") != F.col("channel"))).select("channel", "k")
+    ends = span.select("channel", F.explode(F.array(F.col("_lo") - 1, F.col("_hi") + 1)).alias("k"))
+    free = taken.unionByName(ends).withColumn("g", F.col("k") - F.lag("k").over(by_order()) - 1).where("g > 0").groupBy("channel", F.col("g").alias("at")).agg(F.count(F.lit(1)).alias("n"))
     length = intervals.join(span, "channel").withColumn("_len", F.col("end_k") - F.col("start_k"))
-    # a placement starting at s meets a marked day k if k - len <= s <= k
-    hits = length.join(marked.withColumn("_m", F.lit(1)), F.col("channel") != F.col("_other")).where("k - _len <= _hi - _len and k >= _lo")
-    starts = hits.withColumn("s", F.explode(F.expr("sequence(greatest(_lo, k - _len), least(k, _hi - _len))"))).select("channel", "start_k", "end_k", "s").distinct()
-    n = starts.groupBy("channel", "start_k", "end_k").agg(F.count(F.lit(1)).alias("n_hits"))
-    return length.select("channel", "start_k", "end_k", (F.col("_hi") - F.col("_lo") - F.col("_len") + 1).alias("n_starts")).join(n, ["channel", "start_k", "end_k"], "left").fillna(0, ["n_hits"])
+    asked = length.select("channel", F.col("_len").alias("at")).distinct().withColumn("n", F.lit(0).cast("bigint"))
+    longer = Window.partitionBy("channel").orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, 0)  # one row a length
+    sums = free.unionByName(asked).withColumns({"_n": F.sum("n").over(longer), "_days": F.sum(F.col("n") * F.col("at")).over(longer)})
+    clear = sums.groupBy("channel", F.col("at").alias("_len")).agg(F.max(F.col("_days") - F.col("_n") * F.col("at")).alias("_clear"))
+    starts = F.col("_hi") - F.col("_lo") - F.col("_len") + 1
+    return length.join(clear, ["channel", "_len"], "left").select("channel", "start_k", "end_k", starts.alias("n_starts"), (starts - F.coalesce("_clear", F.lit(0))).alias("n_hits"))
 
 
 def suppressed_days(series: DataFrame, intervals: DataFrame, *, sigma: float = 2.0, follow: int = 120) -> DataFrame:

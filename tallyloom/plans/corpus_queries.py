@@ -122,7 +122,8 @@ def a14_syndication(spark: SparkSession, d: str) -> DataFrame:
 
 def a22_theme_topk(spark: SparkSession, d: str) -> DataFrame:
     """The ten words of at least seven letters in the most English documents, with their share."""
-    docs = load(spark, d, "documents").where("lang = 'en' and text is not null")
+    label = F.regexp_extract(F.lower(strip(F.col("lang"))), r"^([a-z]+)(?:[\s_\-.@(].*)?$", 1)  # any usual spelling of the label
+    docs = load(spark, d, "documents").where(label.isin("en", "eng", "english") & F.col("text").isNotNull())
     words = docs.select("doc_id", F.explode(F.array_distinct(F.split(C.norm(F.col("text")), " "))).alias("word")).where("length(word) >= 7")
     top = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(10)
     return top.join(docs.agg(F.count(F.lit(1)).alias("_all")), F.lit(True)).select("word", "n", r6(F.col("n") / F.col("_all")).alias("share"))
@@ -175,12 +176,10 @@ def u06_set_equality(spark: SparkSession, d: str) -> DataFrame:
 
 
 def s02_compose_queries(spark: SparkSession, d: str) -> DataFrame:
-    """Phrases packed into queries of at most 80 characters by group."""
-    groups: dict[str, list[str]] = {}
-    for g, _, p in PHRASES:
-        groups.setdefault(g.split("/")[0], []).append(f'"{p}"')
-    rows = [(g, i, q) for g, terms in sorted(groups.items()) for i, q in enumerate(C.compose_queries(terms, "India", 60))]
-    return spark.createDataFrame(rows, "topic string, part int, query string")
+    """Phrases packed into queries of at most 60 characters by topic."""
+    phrases = spark.createDataFrame([(g, p) for g, _, p in PHRASES], "grp string, phrase string")
+    topics = phrases.groupBy(F.substring_index("grp", "/", 1).alias("topic")).agg(F.array_sort(F.collect_list(F.concat(F.lit('"'), F.col("phrase"), F.lit('"')))).alias("terms"), F.lit("India").alias("anchor"))
+    return C.composed(topics, budget=60)
 
 
 QUERIES = {
@@ -219,7 +218,7 @@ SQL = {
     "a13_breadth": f"with n as (select channel, source, count(*) as n from documents where source is not null group by all) select channel, sum(n)::bigint as docs, count(*)::bigint as sources, arg_min(source, row(-n, source)) as top_source, {r6_sql('max(n) / sum(n)')} as top_share from n group by channel",
     "a14_syndication": f"select channel, count(distinct url)::bigint as articles, count(distinct {_n('title')})::bigint as stories, {r6_sql(f'count(distinct url) / count(distinct {_n("title")})')} as multiplier from documents where title is not null and url is not null group by channel",
     "a15_tier_share": f"with {_A}, r as (select *, row_number() over (partition by channel order by coalesce(tier, 5), sheet_row) as i from art where channel is not null) select channel, count(*)::bigint as n, {r6_sql('count(*) filter (where tier <= 2) / count(*)')} as share from r where i <= 150 group by channel",
-    "a22_theme_topk": f"with en as (select doc_id, {_n('text')} as n from documents where lang = 'en' and text is not null), w as (select unnest(list_distinct(string_split(n, ' '))) as word from en) select word, count(*)::bigint as n, {r6_sql('count(*) / (select count(*) from en)')} as share from w where length(word) >= 7 group by word order by count(*) desc, word limit 10",
+    "a22_theme_topk": f"with en as (select doc_id, {_n('text')} as n from documents where regexp_extract(lower(trim(lang, '{BLANKS}')), '^([a-z]+)([\\s_\\-.@(].*)?$', 1) in ('en', 'eng', 'english') and text is not null), w as (select unnest(list_distinct(string_split(n, ' '))) as word from en) select word, count(*)::bigint as n, {r6_sql('count(*) / (select count(*) from en)')} as share from w where length(word) >= 7 group by word order by count(*) desc, word limit 10",
     "a25_jaccard_channels": f"with m as (select distinct channel, source from documents where channel is not null and source is not null), s as (select channel, count(*) as n from m group by 1), p as (select x.channel as a, y.channel as b, count(*) as common from m x join m y on x.source = y.source and x.channel < y.channel group by all) select a, b, common::bigint as common, (u.n + v.n - common)::bigint as either, {r6_sql('common / (u.n + v.n - common)')} as jaccard from p join s u on u.channel = a join s v on v.channel = b",
     "t01_tier_cut": f"with {_A}, r as (select channel, sheet_row, row_number() over (partition by channel order by coalesce(tier, 5), coalesce(contains({_h('title')}, ' tariff '), false) desc, sheet_row) as rank from art where channel is not null) select channel, sheet_row, rank::bigint as rank from r where rank <= 75",
     "t02_dedupe": f"with {_A}, k as (select *, substr(lower(trim(coalesce(title, url), '{BLANKS}')), 1, 120) as dedupe_key from art) select dedupe_key, sheet_row, tier from k where dedupe_key is not null qualify row_number() over (partition by dedupe_key order by coalesce(tier, 5), sheet_row) = 1",
