@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The languages, with their codes of two and three letters and English names.
@@ -34,21 +34,25 @@ SPELLINGS = {
     "id": "id", "ind": "id", "indonesian": "id",
 }
 
-#: Documents per label that the model is fitted on, words and n-grams that it keeps per language.
+#: Documents per label that the model is fitted on, the characters of the longest of them, words and n-grams that it keeps
+#: per language. With these bounds the training texts fit the driver.
 PER_LANGUAGE = 300
+LONGEST_TRAINING = 20_000
 MAX_WORDS = 30_000
 MAX_GRAMS = 30_000
 NGRAM = 5
-#: A segment is a sentence from so many words on, if at least this share of them is known in its language, and counts
-#: for the languages present from this confidence on.
+#: A segment is a sentence from so many words on, if at least this share of them is supported in its language, and counts
+#: for the languages present from this confidence on. A known word is supported where it occurs, an unseen one by the share
+#: of its places whose longest known n-gram has LONG_GRAM letters and occurs in the language.
 LEAST_WORDS = 4
-LEAST_KNOWN = 0.3
+LEAST_SUPPORT = 0.3
+LONG_GRAM = 4
 LEAST_CONFIDENCE = 0.8
 #: The score of words in a language without any labelled text.
 ABSENT = -8.0
 
 _LINK = regex.compile(r"(?:https?://|www\.)\S+|\S+@\S+\.\S+|[#@]\w+|<[^<>\s]{1,80}>", regex.I)
-_QUOTED = regex.compile(r"“([^“”\n]{0,600})”|«([^«»\n]{0,600})»|„([^„“”\n]{0,600})[“”]|\"([^\"\n]{0,600})\"|‘([^‘’\n]{0,600})’(?!\w)")
+_QUOTED = regex.compile(r"“([^“”\n]*)”|«([^«»\n]*)»|„([^„“”\n]*)[“”]|\"([^\"\n]*)\"|‘([^‘’\n]*)’(?!\w)")
 _END = re.compile("[.!?\u3002\u2026][\"\u201d\u00bb\u2019)\\]]*\\s+|[\u0964\u06d4\u061f][\"\u201d\u00bb\u2019)\\]]*\\s*|[\r\n\x0b\x0c\x85\u2028\u2029]+|\\s(?:[/|;*\u2014\u2013\u2022\u00b7]|--+)\\s")
 _QUOTES = re.compile("[\"\u201c\u201d\u201e\u00ab\u2018]")
 _LINKED = re.compile("[/@#<]|www\\.")
@@ -119,24 +123,29 @@ class Model:
                     g = grams[k].setdefault(padded[j : j + k], np.zeros(n))
                     g += np.log1p(c)
         self.grams: list[dict[str, np.ndarray]] = [{}]
+        self.absent: list[np.ndarray] = [np.zeros(n)]  # the score of an n-gram in a language without it
         for k in range(1, NGRAM + 1):
             total = sum(grams[k].values(), np.zeros(n)) + 1.0
             keep = sorted(grams[k].items(), key=lambda x: (-x[1].sum(), x[0]))[:MAX_GRAMS]
             self.grams.append({g: np.log((c + 0.2) / (total + 0.2 * len(keep))).astype(np.float32) for g, c in keep})
+            self.absent.append(np.log(0.2 / (total + 0.2 * len(keep))).astype(np.float32) + 1e-3)
 
-    def unseen(self, word: str) -> np.ndarray:
-        """The mean over the longest known n-grams at each place of the word, weighed less than a known word."""
+    def unseen(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """(scores, support): the mean over the longest known n-grams at each place of the word, weighed less than a known
+        word, and the share of the places with a long one of the language."""
         padded = f"^{word}$"
-        total, at, n = np.zeros(len(LANGUAGES), np.float32), 0, 0
-        while at < len(padded):
+        total, n, long_ = np.zeros(len(LANGUAGES), np.float32), 0, np.zeros(len(LANGUAGES), np.float32)
+        places = max(len(padded) - LONG_GRAM + 1, 1)
+        for at in range(len(padded)):
             for k in range(min(NGRAM, len(padded) - at), 0, -1):
                 s = self.grams[k].get(padded[at : at + k])
                 if s is not None:
                     total += s - s.mean()
                     n += 1
+                    if k >= LONG_GRAM:
+                        long_ += s > self.absent[k]
                     break
-            at += 1
-        return 0.5 * total / max(n, 1) ** 0.5
+        return 0.5 * total / max(n, 1) ** 0.5, long_ / places
 
 
 class Scorer(dict):
@@ -152,7 +161,7 @@ class Scorer(dict):
     def clear(self) -> None:
         super().clear()
         n = len(LANGUAGES)
-        self.table = np.zeros((4096, 2 * n + 1), np.float32)  # scores, known in the language, is a word
+        self.table = np.zeros((4096, 2 * n + 1), np.float32)  # scores, support in the language, is a word
         self.used = 1
 
     def __missing__(self, token: str) -> int:
@@ -164,17 +173,16 @@ class Scorer(dict):
         if at >= len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         known = self.model.words.get(w)
-        s = self.model.unseen(w) if known is None else known - known[self.model.there].mean()
+        s, support = self.model.unseen(w) if known is None else (known - known[self.model.there].mean(), known > self.model.rare)
         self.table[at, :n] = np.where(self.model.there, np.clip(s, -8, 8), ABSENT)
-        if known is not None:
-            self.table[at, n : 2 * n] = known > self.model.rare
+        self.table[at, n : 2 * n] = support
         self.table[at, 2 * n] = 1
         self[token] = at
         self.used += 1
         return at
 
     def score(self, segments: list[str]) -> np.ndarray:
-        """For each segment: the sums of scores by language, of known words by language, and the number of words."""
+        """For each segment: the sums of scores by language, of support by language, and the number of words."""
         if self.used > self.KEEP:
             self.clear()
         flat: list[int] = []
@@ -198,8 +206,8 @@ def judge(scored: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     e = np.exp(x - x.max(axis=1, keepdims=True))
     best = x.argmax(axis=1)
     sure = e.max(axis=1) / e.sum(axis=1)
-    known = np.take_along_axis(scored[:, n : 2 * n], best[:, None], axis=1)[:, 0]
-    return np.where((count >= LEAST_WORDS) & (known >= LEAST_KNOWN * count), best, -1), sure, count
+    support = np.take_along_axis(scored[:, n : 2 * n], best[:, None], axis=1)[:, 0]
+    return np.where((count >= LEAST_WORDS) & (support >= LEAST_SUPPORT * count), best, -1), sure, count
 
 
 def fit(labelled: list[tuple[str, str]], rounds: int = 2) -> Model:
@@ -219,11 +227,20 @@ def fit(labelled: list[tuple[str, str]], rounds: int = 2) -> Model:
     return model
 
 
-def training_sample(df: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang", per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
-    """(text, language) of up to ``per_language`` documents for each label, those with the least hashes of their keys and texts."""
-    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), label_code(F.col(label)).alias("l")).where("l is not null and length(t) > 0")
-    ranked = rows.withColumn("_r", F.expr("row_number() over (partition by l order by xxhash64(k, length(t)), k, t)")).where(F.col("_r") <= per_language)
-    return [(r.t, r.l) for r in ranked.select("t", "l").collect()]
+def training_sample(df: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang", per_language: int = PER_LANGUAGE, longest: int = LONGEST_TRAINING) -> list[tuple[str, str]]:
+    """(text, language) of up to ``per_language`` documents for each label, those with the least hashes of their keys and
+    texts among the texts of at most ``longest`` characters.
+
+    The hashes are ranked first, without their texts; the texts of those chosen are then read in a second scan.
+    """
+    rows = df.select(F.xxhash64(F.col(key), F.col(text)).alias("h"), F.col(text).alias("t"), label_code(F.col(label)).alias("l")).where(F.col("l").isNotNull() & F.length("t").between(1, longest))
+    first = F.row_number().over(Window.partitionBy("l").orderBy("h"))
+    chosen = rows.select("l", "h").withColumn("_r", first).where(F.col("_r") <= per_language).select("l", "h").collect()  # bounded by labels x per_language
+    if not chosen:
+        return []
+    texts = rows.where(F.col("h").isin(sorted({r.h for r in chosen}))).groupBy("l", "h").agg(F.first("t").alias("t"))
+    asked = {(r.l, r.h) for r in chosen}
+    return [(r.t, r.l) for r in sorted(texts.collect(), key=lambda r: (r.l, r.h)) if (r.l, r.h) in asked]
 
 
 _OUT = "lang string, confidence double, langs array<string>, n_sentences int, segments array<struct<segment:int,lang:string,confidence:double,first_sentence:int,n_sentences:int,n_words:int>>"
