@@ -1,25 +1,28 @@
 """Implausible readings: impossible values, spikes and stuck runs, each relative to its source.
 
 Distinct readings (source, instant, value) are judged, so that a reading delivered a million times costs one row. For
-each source a robust first-order autoregression is fitted to the logarithm of its readings without their daily or weekly
-cycle. Every stretch of up to three readings is compared with the forecast from before and the backcast from after it: if
-both disagree with it in the same direction, it is an additive outlier; if only one does, the level has shifted and the
-stretch stays. Outliers are taken out and the fit repeated until nothing changes. Long sources are judged in blocks of
-readings that overlap, so no task holds more than BLOCK + 2 * HALO readings and a few bins of one source.
+each source a robust first-order autoregression around its running level is fitted to the logarithm of its readings without
+their daily or weekly cycle; its residuals, of the forecasts as of the backcasts, give its scale. For every stretch of up to
+three readings two statistics are compared: that of an additive outlier, the part of its residual that forecast and backcast
+agree on, and that of a level shift, the change of level across it. An outlier is at least LEAST_SIGMAS of the residuals'
+scale and explains no less than a shift does. Outliers are taken out and the fit repeated until nothing changes; shifts stay
+and are reported. Long sources are judged in blocks of readings that overlap, so no task holds more than BLOCK + 2 * HALO
+readings and a few bins of one source; each block is fitted by itself, to what the source shows around that time.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.instants import instant_micros, is_finite
 
-#: A spike is at least so many robust standard deviations and so far from both sides, on the log scale or, for sources
+#: A spike is at least so many robust standard deviations of the residuals and so far from forecast and backcast, on the log scale or, for sources
 #: whose median is under FEW_COUNTS of their grain, on that of the square root of the count.
-LEAST_SIGMAS = 5.0
+LEAST_SIGMAS = 4.0
 LEAST_EFFECT = 0.6
 LEAST_ROOT = 2.5
 FEW_COUNTS = 6
@@ -40,8 +43,8 @@ def run_starts(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return run, np.bincount(run)
 
 
-def stuck_readings(v: np.ndarray) -> np.ndarray:
-    """Readings of runs of one value that are far longer than the source's own repeats explain."""
+def stuck_readings(v: np.ndarray, total: int | None = None) -> np.ndarray:
+    """Readings of runs of one value that are far longer than the source's own repeats explain, of ``total`` readings in all."""
     run, size = run_starts(v)
     if not len(v):
         return np.zeros(0, bool)
@@ -56,7 +59,7 @@ def stuck_readings(v: np.ndarray) -> np.ndarray:
     pairs = free[1:] & free[:-1]
     same = float((v[1:] == v[:-1])[pairs].mean()) if pairs.any() else 0.0
     chance = min(max(chance, same, 1e-3), 0.9)
-    least = max(LEAST_RUN, 2 + np.log(RUN_ODDS * max(len(v), 1)) / -np.log(chance))
+    least = max(LEAST_RUN, 2 + np.log(RUN_ODDS * max(total or len(v), 1)) / -np.log(chance))
     return (size >= least)[run]
 
 
@@ -99,15 +102,17 @@ def cycle(y: np.ndarray, seconds: np.ndarray, step: int) -> np.ndarray:
     return part if spread(off - part) < 0.85 * spread(off) else np.zeros(len(y))
 
 
-def spike_readings(v: np.ndarray, seconds: np.ndarray, step: int, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(is spike, distance, sigmas) of readings in order of their instants; only ``usable`` ones serve as context.
+def spike_readings(v: np.ndarray, seconds: np.ndarray, step: int, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(is spike, effect, sigmas, shift) of readings in order of their instants; only ``usable`` ones serve as context.
 
+    shift is the change of level in sigmas at readings from which on it is at least LEAST_SIGMAS and ``least``, the largest
+    around; 0 elsewhere.
     Readings of one instant follow one another; of those only the one nearest to its neighbours is context.
     """
     n = len(v)
-    found, effect, sigmas = np.zeros(n, bool), np.zeros(n), np.zeros(n)
+    found, effect, sigmas, shift = np.zeros(n, bool), np.zeros(n), np.zeros(n), np.zeros(n)
     if usable.sum() < 8:
-        return found, effect, sigmas
+        return found, effect, sigmas, shift
     base = v[usable]
     levels = np.unique(base)
     grain = float(np.median(np.diff(levels))) if 1 < len(levels) <= 64 else 0.0
@@ -149,14 +154,20 @@ def spike_readings(v: np.ndarray, seconds: np.ndarray, step: int, usable: np.nda
         if not hit.any():
             break
         at = at[~hit]
+    if len(at) >= 8:
+        refs = References(y[at])
+        i = np.arange(len(at))
+        change = np.where((i >= SIDE) & (i <= len(at) - SIDE), refs.shift(i, i), 0.0)
+        peak = np.lib.stride_tricks.sliding_window_view(np.pad(np.abs(change), SIDE), 2 * SIDE + 1).max(axis=1)
+        moved = (np.abs(change) >= peak) & (np.abs(change) >= max(least, LEAST_SIGMAS * refs.sigma))
+        shift[at[moved]] = change[moved] / refs.sigma
     other = np.flatnonzero(usable & ~context)  # further values of an instant: judged alone, without the one that stands for it
     if len(other) and len(at) >= 8:
-        refs = References(y[at])
         left = np.searchsorted(seconds[at], seconds[other], side="left")
         right = np.searchsorted(seconds[at], seconds[other], side="right")
         off, z, ok = refs.judge(y[other], y[other], left, right, least)
         effect[other], sigmas[other], found[other] = off, z, ok
-    return found, effect, sigmas
+    return found, effect, sigmas, shift
 
 
 class References:
@@ -178,33 +189,42 @@ class References:
             self.phi = float(np.clip(ratio[order][np.searchsorted(total, total[-1] / 2)], 0.0, 0.8))
         self.ahead = np.concatenate([[np.nan], self.before[1:] + self.phi * (x - self.before[1:])])
         self.back = np.concatenate([self.after[:-1] + self.phi * (x - self.after[:-1]), [np.nan]])
-        calm = x - 0.5 * (self.before[:-1] + self.after[1:])
-        self.sigma = max(mad(calm[calm != 0]), 1e-3)
+        residuals = np.concatenate([x - self.ahead[:-1], x - self.back[1:]])
+        self.sigma = max(mad(residuals), 1e-3)
+
+    def shift(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The change of level from the readings before i to those from j on, 0 at the ends."""
+        return np.nan_to_num(self.after[j] - self.before[i])
 
     def judge(self, low: np.ndarray, high: np.ndarray, i: np.ndarray, j: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(signed distance, in sigmas, is an outlier) of stretches with extremes low, high between the readings before i and from j on.
+        """(signed effect, in sigmas, is an outlier) of stretches with extremes low, high between the readings before i and from j on.
 
-        An additive outlier is off the level and the forecast on both sides; a shift of level is off one only. A reading
-        next to the stretch that lies near it means that the stretch goes on, so it is none either.
+        The effect is the residual that the forecast from before and the backcast from after the stretch have in common;
+        it must be no less than the shift of level across the stretch. A reading next to the stretch that lies near it
+        means that the stretch goes on, so it is none either.
         """
-        hi = np.fmax(np.fmax(self.before[i], self.ahead[i]), np.fmax(self.after[j], self.back[j]))
-        lo = np.fmin(np.fmin(self.before[i], self.ahead[i]), np.fmin(self.after[j], self.back[j]))
+        hi, lo = np.fmax(self.ahead[i], self.back[j]), np.fmin(self.ahead[i], self.back[j])
         up, down = low - hi, lo - high
         size = np.fmax(np.fmax(up, down), 0.0) * np.where((i >= 2) & (j <= self.n - 2), 1.0, 0.5)  # one-sided at the ends
         rising = up >= down
         wide = np.concatenate([[np.nan], self.x, [np.nan]])
         prev, next_ = wide[i], wide[np.minimum(j + 1, self.n + 1)]
         apart = np.where(rising, np.fmin(low - prev, low - next_), np.fmin(prev - high, next_ - high))
-        ok = (size >= least) & (size >= LEAST_SIGMAS * self.sigma) & (apart >= 0.5 * size)
+        ok = (size >= least) & (size >= LEAST_SIGMAS * self.sigma) & (apart >= 0.5 * size) & (size >= np.abs(self.shift(i, j)))
         off = np.where(rising, size, -size)
         return off, off / self.sigma, ok
 
 
-_JUDGED = "source string, micros bigint, value double, flag string, effect double, sigmas double"
+_JUDGED = "source string, micros bigint, value double, flag string, effect double, sigmas double, shift double, n bigint, known bigint, low bigint, high bigint, mixed bigint"
+
+
+_COLUMNS = [c.split()[0] for c in _JUDGED.split(", ")]
 
 
 def judge_source(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Flags for the distinct possible readings (source, micros, value, step, own) of one source or block, with its surroundings."""
+    """Flags for the distinct possible readings (source, micros, value, step, total, own, ...) of one source or block, with its surroundings."""
+    if not pdf["own"].any():
+        return pd.DataFrame(columns=_COLUMNS)
     pdf = pdf.sort_values(["micros", "value"], kind="stable")
     v, micros = pdf["value"].to_numpy(float), pdf["micros"].to_numpy(np.int64)
     step = int(pdf["step"].iloc[0])
@@ -217,11 +237,11 @@ def judge_source(pdf: pd.DataFrame) -> pd.DataFrame:
         seq = _run_sequence(v, micros)
         lead[:] = False
         lead[seq] = True
-    stuck[lead] = stuck_readings(v[lead])
-    found, effect, sigmas = spike_readings(v, seconds, step, ~stuck)
+    stuck[lead] = stuck_readings(v[lead], int(pdf["total"].iloc[0]))
+    found, effect, sigmas, shift = spike_readings(v, seconds, step, ~stuck)
     flag = np.where(stuck, "stuck", np.where(found, "spike", None))
-    out = pd.DataFrame({"source": pdf["source"].to_numpy(), "micros": micros, "value": v, "flag": flag, "effect": effect, "sigmas": sigmas})
-    return out[pdf["own"].to_numpy(bool)]
+    out = pdf.assign(flag=flag, effect=effect, sigmas=sigmas, shift=shift)
+    return out.loc[pdf["own"].to_numpy(bool), _COLUMNS]
 
 
 def _run_sequence(v: np.ndarray, micros: np.ndarray) -> np.ndarray:
@@ -240,40 +260,81 @@ def _run_sequence(v: np.ndarray, micros: np.ndarray) -> np.ndarray:
     return np.array(pick)
 
 
-def flag_readings(df: DataFrame, *, source: str = "series_id", date: str = "date", value: str = "value", step: str = "step_seconds", row: str = "row_id", block: int = BLOCK, halo: int = HALO) -> DataFrame:
-    """(row, source, flag, effect, sigmas) of every row.
-
-    flag is ``impossible`` (below 0, above 100 or not finite, with or without an instant), ``spike``, ``stuck`` or null.
-    effect is the distance from the source's surroundings on the log scale, sigmas the same in its scatter. Rows with a
-    null value or, if their value is possible, without an instant or a source are never flagged. Equal readings of an
-    instant get the same flag, differing ones are judged each by its own value. Steps that are null or not positive count
-    as a day. An empty table gives no rows; extra columns are ignored.
+def flag_readings(
+    df: DataFrame,
+    *,
+    source: str = "series_id",
+    date: str = "date",
+    value: str = "value",
+    step: str = "step_seconds",
+    row: str = "row_id",
+    limits: tuple[float, float] = (0.0, 100.0),
+    block: int = BLOCK,
+    halo: int = HALO,
+) -> DataFrame:
+    """(row, source, flag, effect, sigmas, shift) of every row.
+
+    flag is ``impossible`` (outside ``limits`` or not finite, with or without an instant), ``spike``, ``stuck`` or null.
+    effect is the distance from the forecasts on the log scale, sigmas the same in the scale of their residuals, shift
+    the change of level in that scale where one begins, else 0. Rows with a null value or, if their value is possible,
+    without an instant or a source are never flagged. Equal readings of an instant get the same flag, differing ones are
+    judged each by its own value. Steps that are null or not positive count as a day. An empty table gives no rows; extra
+    columns are ignored.
+
+    Rows that deliver one reading up to three times find their flag without a join: the reading carries the least and the
+    largest of their ids, and what is left of all ids together is the third. Readings delivered more often, or under ids
+    that are null or no whole numbers, meet their rows by a join, which is planned only if there are any; a job at the
+    time of the call, over the distinct readings, which are persisted, finds out.
     """
     rows = df.select(F.col(row).alias("row"), F.col(source).alias("source"), instant_micros(F.col(date)).alias("micros"), F.col(value).cast("double").alias("value"), F.col(step).cast("bigint").alias("step"))
-    possible = is_finite(F.col("value")) & F.col("value").between(0, 100)
-    impossible = F.col("value").isNotNull() & ~possible
-    judged = judged_readings(rows.where(possible), block, halo)
-    keyed = rows.withColumn("value", F.when(F.col("value") == 0, F.lit(0.0)).otherwise(F.col("value")))
-    out = keyed.join(judged, ["source", "micros", "value"], "left")
-    return out.select(F.col("row").alias(row), F.col("source").alias(source), F.when(impossible, "impossible").otherwise(F.col("flag")).alias("flag"), "effect", "sigmas")
-
-
-def judged_readings(rows: DataFrame, block: int = BLOCK, halo: int = HALO) -> DataFrame:
-    """(source, micros, value, flag, effect, sigmas): each distinct possible reading once."""
-    readings = (
-        rows.where("source is not null and micros is not null")
-        .groupBy("source", "micros", F.when(F.col("value") == 0, F.lit(0.0)).otherwise(F.col("value")).alias("value"))
-        .agg(F.max("step").alias("step"))
+    v = F.col("value")
+    possible = F.coalesce(is_finite(v) & v.between(*limits), F.lit(False))
+    placed = F.col("source").isNotNull() & F.col("micros").isNotNull()
+    id_ = F.col("row") if isinstance(df.schema[row].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)) else F.lit(None)
+    readings = distinct_readings(rows.where(possible & placed), id_.cast("bigint")).persist()
+    judged = judged_readings(readings, block, halo)
+    result = ["flag", "effect", "sigmas", "shift"]
+    third = F.col("mixed").bitwiseXOR(F.col("low")).bitwiseXOR(F.col("high"))
+    ids = F.when(F.col("n") == 1, F.array("low")).when(F.col("n") == 2, F.array("low", "high")).otherwise(F.array("low", third, "high"))
+    out = judged.where(_FEW).select(F.explode(ids.cast(T.ArrayType(df.schema[row].dataType))).alias("row"), "source", *result)
+    if not readings.where(f"not ({_FEW})").isEmpty():
+        many = judged.where(f"not ({_FEW})").select("source", "micros", "value", *result)
+        keyed = rows.where(possible & placed).withColumn("value", _plain(v))
+        out = out.unionByName(keyed.join(many, ["source", "micros", "value"]).select("row", "source", *result))
+    none = {"effect": F.lit(None).cast("double"), "sigmas": F.lit(None).cast("double"), "shift": F.lit(None).cast("double")}
+    impossible = rows.where(v.isNotNull() & ~possible).select("row", "source", F.lit("impossible").alias("flag"), *[c.alias(n) for n, c in none.items()])
+    unjudged = rows.where(v.isNull() | (possible & ~placed)).select("row", "source", F.lit(None).cast("string").alias("flag"), *[c.alias(n) for n, c in none.items()])
+    return out.unionByName(impossible).unionByName(unjudged).select(F.col("row").alias(row), F.col("source").alias(source), *result)
+
+
+_FEW = "n <= 3 and known = n"
+
+
+def _plain(value: Column) -> Column:
+    """-0.0 as 0.0."""
+    return F.when(value == 0, F.lit(0.0)).otherwise(value)
+
+
+def distinct_readings(rows: DataFrame, id_: Column) -> DataFrame:
+    """(source, micros, value, step, n, known, low, high, mixed): each distinct reading once, with its rows' number, the number
+    of their ids, the least, the largest and the exclusive or of these (0 without any: nulls would turn whole numbers into floats in pandas)."""
+    return (
+        rows.groupBy("source", "micros", _plain(F.col("value")).alias("value"))
+        .agg(F.max("step").alias("step"), F.count(F.lit(1)).alias("n"), F.count(id_).alias("known"), *[F.coalesce(f(id_), F.lit(0)).alias(c) for c, f in (("low", F.min), ("high", F.max), ("mixed", F.bit_xor))])
         .withColumn("step", F.when(F.col("step") > 0, F.col("step")).otherwise(86_400))
     )
+
+
+def judged_readings(readings: DataFrame, block: int = BLOCK, halo: int = HALO) -> DataFrame:
+    """``readings`` with flag, effect, sigmas and shift."""
     bin_ = F.floor(F.col("micros") / (F.col("step") * (1_000_000 * BIN_STEPS)))
     binned = readings.withColumn("_bin", bin_)
     # bins of the time axis are dealt to blocks by the number of readings before them; one row per bin in this window
-    sizes = binned.groupBy("source", "_bin").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.expr("coalesce(sum(_n) over (partition by source order by _bin rows between unbounded preceding and 1 preceding), 0)")).withColumn("_total", F.expr("sum(_n) over (partition by source)"))
+    sizes = binned.groupBy("source", "_bin").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.expr("coalesce(sum(_n) over (partition by source order by _bin rows between unbounded preceding and 1 preceding), 0)")).withColumn("total", F.expr("sum(_n) over (partition by source)"))
     own = F.floor(F.col("_before") / block)
-    sizes = sizes.withColumn("_own", F.when(F.col("_total") <= 2 * block, F.lit(0).cast("bigint")).otherwise(own))
-    into = F.when(F.col("_total") <= 2 * block, F.array(F.col("_own"))).otherwise(
+    sizes = sizes.withColumn("_own", F.when(F.col("total") <= 2 * block, F.lit(0).cast("bigint")).otherwise(own))
+    into = F.when(F.col("total") <= 2 * block, F.array(F.col("_own"))).otherwise(
         F.array_compact(F.array(F.col("_own"), F.when((F.col("_before") - F.col("_own") * block < halo) & (F.col("_own") > 0), F.col("_own") - 1), F.when((F.col("_own") + 1) * block - F.col("_before") - F.col("_n") < halo, F.col("_own") + 1)))
     )
-    placed = binned.join(sizes.select("source", "_bin", "_own", into.alias("_into")), ["source", "_bin"]).withColumn("_block", F.explode("_into")).select("source", "micros", "value", "step", "_block", (F.col("_block") == F.col("_own")).alias("own"))
+    placed = binned.join(sizes.select("source", "_bin", "_own", "total", into.alias("_into")), ["source", "_bin"]).withColumn("_block", F.explode("_into")).select("source", "micros", "value", "step", "total", "n", "known", "low", "high", "mixed", "_block", (F.col("_block") == F.col("_own")).alias("own"))
     return placed.groupBy("source", "_block").applyInPandas(judge_source, _JUDGED)

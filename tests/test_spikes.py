@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallyloom.operators import spikes
 
@@ -70,6 +71,31 @@ def test_copies_and_corrections(spark):
     assert f[77] == f[1000] == "spike" and f[1001] is None
 
 
+def test_readings_delivered_often(spark):
+    v = series()
+    rows = rows_of(v)
+    t = rows[77][2]
+    rows[77] = (77, "s", t, 9.0, 3600)
+    for copies in (2, 3, 5):
+        more = rows + [(1000 + i, "s", t, 9.0, 3600) for i in range(copies - 1)] + [(None, "s", rows[5][2], rows[5][3], 3600)]
+        out = spikes.flag_readings(table(spark, more)).collect()
+        assert len(out) == len(more)
+        assert {r.row_id for r in out if r.flag == "spike"} == {77, *range(1000, 999 + copies)}
+        assert sorted(str(r.row_id) for r in out) == sorted(str(m[0]) for m in more)
+    named = table(spark, rows).withColumn("row_id", F.concat(F.lit("r"), "row_id"))
+    assert [r.row_id for r in spikes.flag_readings(named).where("flag is not null").collect()] == ["r77"]
+
+
+def test_limits_and_shifts(spark):
+    v = series()
+    v[250:] *= 4
+    out = spikes.flag_readings(table(spark, rows_of(v)), limits=(0.0, 5.0)).collect()
+    assert {r.row_id for r in out if r.flag == "impossible"} == {i for i in range(400) if v[i] > 5}
+    out = spikes.flag_readings(table(spark, rows_of(v))).collect()
+    moved = [r.row_id for r in out if r.shift]
+    assert len(moved) == 1 and abs(moved[0] - 250) <= 1 and all(r.flag is None for r in out)
+
+
 def test_few_counts(spark):
     rng = np.random.default_rng(2)
     v = rng.poisson(1.5, 400) * 0.0071
