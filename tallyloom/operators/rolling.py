@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .grid import explode_between, pair_neighbours, usable_readings
+from .grid import explode_between, pair_neighbours, usable_readings, with_instant
 
 DAY = 86_400_000_000
 BLOCK_DAYS = 512
@@ -19,7 +19,7 @@ BLOCK_DAYS = 512
 
 def latest_readings(usable: DataFrame) -> DataFrame:
     """One reading for each source and instant: the last delivered, which is the correction where there is one."""
-    return usable.groupBy("source", "micros").agg(F.max_by("value", "ord").alias("value"))
+    return with_instant(usable, ["source", "micros"], value=F.max_by("value", "ord"))
 
 
 def daily_totals(usable: DataFrame) -> DataFrame:
