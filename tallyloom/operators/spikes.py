@@ -13,7 +13,7 @@ readings and a few bins of one source; each block is fitted by itself, to what t
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,6 +134,7 @@ def spike_readings(v: np.ndarray, seconds: np.ndarray, step: int, usable: np.nda
             near = np.median(y[lo:hi][usable[lo:hi]])
             context[own[np.argmin(np.abs(y[own] - near))]] = True
     at = np.flatnonzero(context)
+    refs = None
     for _ in range(ROUNDS):
         x = y[at]
         if len(x) < 8:
@@ -155,7 +156,7 @@ def spike_readings(v: np.ndarray, seconds: np.ndarray, step: int, usable: np.nda
             break
         at = at[~hit]
     if len(at) >= 8:
-        refs = References(y[at])
+        refs = refs if refs is not None and refs.n == len(at) else References(y[at])  # those of the last round, if it took nothing out
         i = np.arange(len(at))
         change = np.where((i >= SIDE) & (i <= len(at) - SIDE), refs.shift(i, i), 0.0)
         peak = np.lib.stride_tricks.sliding_window_view(np.pad(np.abs(change), SIDE), 2 * SIDE + 1).max(axis=1)
@@ -218,30 +219,32 @@ class References:
 _JUDGED = "source string, micros bigint, value double, flag string, effect double, sigmas double, shift double, n bigint, known bigint, low bigint, high bigint, mixed bigint"
 
 
-_COLUMNS = [c.split()[0] for c in _JUDGED.split(", ")]
+_CARRIED = ["source", "micros", "value"]
+_IDS = ["n", "known", "low", "high", "mixed"]
 
 
-def judge_source(pdf: pd.DataFrame) -> pd.DataFrame:
+def judge_source(t: pa.Table) -> pa.Table:
     """Flags for the distinct possible readings (source, micros, value, step, total, own, ...) of one source or block, with its surroundings."""
-    if not pdf["own"].any():
-        return pd.DataFrame(columns=_COLUMNS)
-    pdf = pdf.sort_values(["micros", "value"], kind="stable")
-    v, micros = pdf["value"].to_numpy(float), pdf["micros"].to_numpy(np.int64)
-    step = int(pdf["step"].iloc[0])
-    seconds = micros / 1e6
-    # of several values at one instant the one that continues a run stands in the sequence of runs
-    lead = np.ones(len(v), bool)
-    dup = np.flatnonzero(micros[1:] == micros[:-1]) + 1
-    stuck = np.zeros(len(v), bool)
-    if len(dup):
-        seq = _run_sequence(v, micros)
-        lead[:] = False
-        lead[seq] = True
-    stuck[lead] = stuck_readings(v[lead], int(pdf["total"].iloc[0]))
-    found, effect, sigmas, shift = spike_readings(v, seconds, step, ~stuck)
-    flag = np.where(stuck, "stuck", np.where(found, "spike", None))
-    out = pdf.assign(flag=flag, effect=effect, sigmas=sigmas, shift=shift)
-    return out.loc[pdf["own"].to_numpy(bool), _COLUMNS]
+    column = lambda name: t.column(name).to_numpy()
+    own = column("own")
+    order = np.lexsort((column("value"), column("micros")))
+    v, micros = column("value")[order], column("micros")[order]
+    flag, found = np.zeros(len(v), np.int8), [np.zeros(len(v))] * 3
+    if own.any():
+        # of several values at one instant the one that continues a run stands in the sequence of runs
+        lead = np.ones(len(v), bool)
+        stuck = np.zeros(len(v), bool)
+        if (micros[1:] == micros[:-1]).any():
+            lead[:] = False
+            lead[_run_sequence(v, micros)] = True
+        stuck[lead] = stuck_readings(v[lead], int(t.column("total")[0].as_py()))
+        spike, *found = spike_readings(v, micros / 1e6, int(t.column("step")[0].as_py()), ~stuck)
+        flag = np.where(stuck, 2, np.where(spike, 1, 0))
+    keep = own[order].astype(bool)
+    rows = t.take(pa.array(order[keep]))
+    names = pa.array([None, "spike", "stuck"], pa.string()).take(pa.array(flag[keep].astype(np.int8)))
+    numbers = [pa.array(x[keep], pa.float64()) for x in found]
+    return pa.table([*[rows.column(c) for c in _CARRIED], names, *numbers, *[rows.column(c) for c in _IDS]], names=[c.split()[0] for c in _JUDGED.split(", ")])
 
 
 def _run_sequence(v: np.ndarray, micros: np.ndarray) -> np.ndarray:
@@ -291,7 +294,8 @@ def flag_readings(
     possible = F.coalesce(is_finite(v) & v.between(*limits), F.lit(False))
     placed = F.col("source").isNotNull() & F.col("micros").isNotNull()
     id_ = F.col("row") if isinstance(df.schema[row].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)) else F.lit(None)
-    readings = distinct_readings(rows.where(possible & placed), id_.cast("bigint")).persist()
+    # rows without an instant are left out after the aggregate: a filter on it would have every date parsed twice
+    readings = distinct_readings(rows.where(possible & F.col("source").isNotNull()), id_.cast("bigint")).persist()
     judged = judged_readings(readings, block, halo)
     result = ["flag", "effect", "sigmas", "shift"]
     third = F.col("mixed").bitwiseXOR(F.col("low")).bitwiseXOR(F.col("high"))
@@ -320,7 +324,8 @@ def distinct_readings(rows: DataFrame, id_: Column) -> DataFrame:
     of their ids, the least, the largest and the exclusive or of these (0 without any: nulls would turn whole numbers into floats in pandas)."""
     return (
         rows.groupBy("source", "micros", _plain(F.col("value")).alias("value"))
-        .agg(F.max("step").alias("step"), F.count(F.lit(1)).alias("n"), F.count(id_).alias("known"), *[F.coalesce(f(id_), F.lit(0)).alias(c) for c, f in (("low", F.min), ("high", F.max), ("mixed", F.bit_xor))])
+        .agg(F.max("step").alias("step"), F.count("micros").alias("n"), F.count(id_).alias("known"), *[F.coalesce(f(id_), F.lit(0)).alias(c) for c, f in (("low", F.min), ("high", F.max), ("mixed", F.bit_xor))])
+        .where("n > 0")
         .withColumn("step", F.when(F.col("step") > 0, F.col("step")).otherwise(86_400))
     )
 
@@ -337,4 +342,4 @@ def judged_readings(readings: DataFrame, block: int = BLOCK, halo: int = HALO) -
         F.array_compact(F.array(F.col("_own"), F.when((F.col("_before") - F.col("_own") * block < halo) & (F.col("_own") > 0), F.col("_own") - 1), F.when((F.col("_own") + 1) * block - F.col("_before") - F.col("_n") < halo, F.col("_own") + 1)))
     )
     placed = binned.join(sizes.select("source", "_bin", "_own", "total", into.alias("_into")), ["source", "_bin"]).withColumn("_block", F.explode("_into")).select("source", "micros", "value", "step", "total", "n", "known", "low", "high", "mixed", "_block", (F.col("_block") == F.col("_own")).alias("own"))
-    return placed.groupBy("source", "_block").applyInPandas(judge_source, _JUDGED)
+    return placed.groupBy("source", "_block").applyInArrow(judge_source, _JUDGED)
