@@ -14,7 +14,18 @@ def _sampled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return _sampled(spark, d)[1].where("short > 0").select("target_id")
+    """Strata of which the sample holds fewer rows than wanted."""
+    sample, report = _sampled(spark, d)
+    n = sample.groupBy("target_id").agg(F.count(F.lit(1)).alias("n"))
+    return report.select("target_id", "wanted").join(n, "target_id", "left").where(F.coalesce("n", F.lit(0)) < F.col("wanted")).select("target_id")
+
+
+def p4_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each stratum and of those wanted, from the report; the stratum's rows in the sample are at least the lesser of both."""
+    sample, report = _sampled(spark, d)
+    n = sample.groupBy("target_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = F.coalesce("n", F.lit(0)) >= F.least("wanted", "available")
+    return report.join(n, "target_id", "left").select("target_id", "available", "wanted", "short", kept.alias("minimum_kept"))
 
 
 def p4_report(spark: SparkSession, d: str) -> DataFrame:
@@ -71,7 +82,7 @@ def p9_segments(spark: SparkSession, d: str) -> DataFrame:
     return language.identify(spark, load(spark, d, "documents"))[1]
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_report, p4_sample, p5_found, p5_records, p7_ids, p7_roundtrip, p8_found, p8_containers, p8_fill, p9_found, p9_documents, p9_segments)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_report, p4_sizes, p4_sample, p5_found, p5_records, p7_ids, p7_roundtrip, p8_found, p8_containers, p8_fill, p9_found, p9_documents, p9_segments)}
 
 _FOLD = r"replace(regexp_replace(lower(upper({})), '[^\p{{L}}\p{{M}}\p{{Nd}}]+', '', 'g'), 'ς', 'σ')"
 _BASE = "(case when strpos(url, '?') > 0 then substr(url, 1, strpos(url, '?') - 1) else url end)"
@@ -85,6 +96,10 @@ SQL = {
       s as (select regexp_replace({_NAME.format('channel')}, '[\s_-]+', '_', 'g') as c, regexp_replace({_NAME.format('domain')}, '^www\.', '') as d from pilot_sheet where channel is not null and domain is not null),
       n as (select c, case when d in (select d from t) then d else '(other)' end as d, count(*) as n from s group by all)
       select target_id from t left join n using (c, d) where coalesce(n, 0) < wanted""",
+    "p4_sizes": rf"""with t as (select target_id, regexp_replace({_NAME.format('channel')}, '[\s_-]+', '_', 'g') as c, {_NAME.format('domain')} as d, greatest(min_rows, floor(target_share * sample_rows + 0.5 + 1e-9))::bigint as wanted from sample_targets),
+      s as (select regexp_replace({_NAME.format('channel')}, '[\s_-]+', '_', 'g') as c, regexp_replace({_NAME.format('domain')}, '^www\.', '') as d from pilot_sheet where channel is not null and domain is not null),
+      n as (select c, case when d in (select d from t) then d else '(other)' end as d, count(*) as n from s group by all)
+      select target_id, coalesce(n, 0)::bigint as available, wanted, greatest(0, wanted - coalesce(n, 0))::bigint as short, true as minimum_kept from t left join n using (c, d)""",
     "p5_found": f"with {_KEYS}, m as (select k, min(sheet_row) as keep_row from keyed where k is not null group by k) select keep_row, sheet_row as copy_row from keyed join m using (k) where sheet_row > keep_row",
     "p5_records": f"with {_KEYS} select min(sheet_row) as keep_row, count(*)::bigint as copies from keyed group by coalesce(k, 'row ' || sheet_row)",
     "p7_roundtrip": "select doc_id from documents where doc_id < doc_id",

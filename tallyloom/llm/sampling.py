@@ -3,7 +3,7 @@
 Stratum sizes (one row per target at most, so a bounded table) start from the joint targets and are raked by iterative
 proportional fitting to the domain and the channel margin, each stratum between its minimum and what it has: where strata
 are short, others of their channel and domain make up for it. Each row draws an exponential key with its stratum's weight;
-the rows with the least keys are drawn. Strata under their fitted number are then topped up with their next keys, those
+the rows with the least keys are drawn, by counts of buckets of the keys instead of a sort. Strata under their fitted number are then topped up with their next keys, those
 over it give up their largest ones, and what can't be met is reported by stratum, channel and domain.
 """
 
@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 OTHER = "(other)"
 MAX_TARGETS = 10_000
-SALTS = 64
+#: Buckets of the keys; only the rows of a stratum's last bucket are ranked.
+BUCKETS = 4096
 
 
 def channel_name(c: Column) -> Column:
@@ -92,6 +93,23 @@ def rounded(x: np.ndarray, group: np.ndarray, total: int) -> list[int]:
     return [int(v) for v in out]
 
 
+def least_rows(keyed: DataFrame, quota: DataFrame, group: str, place: Column, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of each group with the least (sample_key, row), as many as ``quota`` (group, quota; at most MAX_TARGETS rows) says.
+
+    ``place``, between 0 and 1, grows with the key within a group. Rows are counted by buckets of it; those below the
+    bucket in which the quota is reached are in without a sort, and only the rows of that bucket are ranked.
+    """
+    placed = keyed.withColumn("_b", F.floor(place * buckets))
+    counts = placed.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n")).join(F.broadcast(quota), group)
+    sums = counts.withColumn("_to", F.expr(f"sum(_n) over (partition by {group} order by _b)"))  # at most one row a bucket
+    over = F.col("_to") > F.col("quota")
+    cuts = sums.groupBy(group).agg(F.min(F.when(over, F.col("_b"))).alias("_cut"), F.coalesce(F.max(F.when(~over, F.col("_to"))), F.lit(0)).alias("_full"), F.max("quota").alias("_quota"))
+    near = placed.join(F.broadcast(cuts), group)
+    inside = near.where("_cut is null or _b < _cut")
+    edge = near.where("_b = _cut").withColumn("_r", F.expr(f"row_number() over (partition by {group} order by sample_key, row)")).where("_r <= _quota - _full")
+    return inside.unionByName(edge.drop("_r")).select(*keyed.columns)
+
+
 def stratified_sample(
     df: DataFrame,
     targets: DataFrame,
@@ -154,15 +172,11 @@ def stratified_sample(
     weights = spark.createDataFrame([(x.target_id, float(w)) for x, w in zip(t, weight, strict=True)], "target_id bigint, weight double")
     u = (F.pmod(F.xxhash64(F.lit(seed), F.col("row")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     keyed = rows.join(F.broadcast(weights), "target_id").where("weight > 0").withColumn("sample_key", -F.log(u) / F.col("weight"))
-    # a stratum never keeps more than max(total, wanted) rows: the least keys of each salt, then of the stratum, hold them all
-    most = max([total, *wanted], default=0)
-    best = keyed.withColumn("_salt", F.pmod(F.xxhash64("row", F.lit(7)), F.lit(SALTS)))
-    ranked = best.withColumn("_r", F.expr("row_number() over (partition by target_id, _salt order by sample_key, row)")).where(F.col("_r") <= most)
-    ranked = ranked.withColumn("rank", F.expr("row_number() over (partition by target_id order by sample_key, row)")).where(F.col("rank") <= most).select("row", "target_id", "weight", "sample_key", "rank").persist()
-    drawn_by = {x.target_id: x["count"] for x in ranked.orderBy("sample_key", "row").limit(total).groupBy("target_id").count().collect()}
+    overall = spark.createDataFrame([(0, total)], "_all int, quota bigint")
+    drawn_by = {x.target_id: x["count"] for x in least_rows(keyed.withColumn("_all", F.lit(0)), overall, "_all", F.col("sample_key") / (1 + F.col("sample_key"))).groupBy("target_id").count().collect()}
     drawn = [drawn_by.get(x.target_id, 0) for x in t]
-    quota = spark.createDataFrame([(x.target_id, k) for x, k in zip(t, kept, strict=True)], "target_id bigint, _keep bigint")
-    sample = ranked.join(F.broadcast(quota), "target_id").where("rank <= _keep").select("row", "target_id", "weight", "sample_key")
+    quota = spark.createDataFrame([(x.target_id, k) for x, k in zip(t, kept, strict=True)], "target_id bigint, quota bigint")
+    sample = least_rows(keyed, quota, "target_id", 1 - u).select("row", "target_id", "weight", "sample_key")
     n = sum(kept)
     residual = share - np.array(kept, float) / max(n, 1)
     margins = [np.bincount(g, weights=residual)[g].tolist() if t else [] for g in (by_channel, by_domain)]

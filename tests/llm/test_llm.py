@@ -72,6 +72,18 @@ def test_short_strata_are_made_up_for_within_their_channel_and_domain(spark):
     assert all(abs(x.domain_residual - sum(y.residual for y in r if y.domain == x.domain)) < 1e-12 for x in r)
 
 
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_least_rows_against_a_sort(spark, buckets):
+    rng = random.Random(buckets)
+    rows = [(i, i % 4, rng.choice([0.1, 0.2, rng.random() * 3])) for i in range(500)]
+    quota = {0: 10, 1: 0, 2: 125, 3: 900}
+    df = spark.createDataFrame(rows, "row bigint, g int, sample_key double")
+    got = sampling.least_rows(df, spark.createDataFrame(list(quota.items()), "g int, quota bigint"), "g", F.col("sample_key") / (1 + F.col("sample_key")), buckets)
+    want = {r for g, q in quota.items() for _, r in sorted((k, i) for i, h, k in rows if h == g)[:q]}
+    out = [r.row for r in got.collect()]
+    assert set(out) == want and len(out) == len(want)
+
+
 def test_weights_meet_bounded_margins():
     rows, cols = np.array([0, 0, 1, 1]), np.array([0, 1, 0, 1])
     high = np.array([3.0, 100.0, 100.0, 100.0])
