@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -102,15 +103,15 @@ def shape(kind: str, raw: F.Column, day: F.Column, lane: F.Column) -> F.Column:
     """The shape of a value: what stays the same when a field keeps its meaning from file to file.
 
     The file's day and lane become marks, long hexadecimal runs their length, runs of digits a 9 (words stay);
-    short numbers stay, others become sign, number of digits and whether there is a fraction.
+    short numbers stay, others become sign, number of digits and whether there is a fraction. The whole value counts; an
+    array has the distinct shapes of all of its strings and numbers.
     """
-    text = F.when(F.length(raw) <= 512, raw).otherwise(F.substring(raw, 1, 512))
     compact_day = F.replace(day, F.lit("-"), F.lit(""))
-    text = F.replace(F.replace(F.replace(text, lane, F.lit("{lane}")), day, F.lit("{day}")), compact_day, F.lit("{day8}"))
+    text = F.replace(F.replace(F.replace(raw, lane, F.lit("{lane}")), day, F.lit("{day}")), compact_day, F.lit("{day8}"))
     hexes = F.regexp_replace(text, r"\b[0-9a-f]{24,}\b", F.concat(F.lit("{hex"), F.length(text).cast("string"), F.lit("}")))
     words = F.regexp_replace(hexes, r"\d+", "9")
     number = F.when(raw.rlike(r"^-?\d{1,2}$"), raw).otherwise(F.concat(F.regexp_replace(F.regexp_replace(raw, r"\d*\.\d+(e.*)?$", ".f"), r"\d+", "d"), F.length(F.regexp_extract(raw, r"^-?(\d+)", 1)).cast("string")))
-    items = F.regexp_replace(words, r'^(\[)?.*?("[^"]*"|9).*$', "$2")
+    items = F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all(words, F.lit(r'("[^"]*"|9)'), F.lit(1)))), ",")
     return F.when(F.col(kind) == "number", number).when(F.col(kind) == "array", items).otherwise(words)
 
 
@@ -184,10 +185,13 @@ def match_renames(gone: list[tuple[str, str]], new: list[tuple[str, str]], conte
 _CHANGES = "lane string, file string, day string, change string, field string, old_field string, type string, old_type string"
 
 
-def _changes(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    lane, file, day = key
+_SIDES = ["lane", "file", "day", "side", "path", "type", "other", "old_type", "content"]
+
+
+def _file_changes(rows: list[tuple]) -> list[tuple]:
+    """The changes of one file from its rows (side, path, type, other, old_type, content)."""
     gone, new, content, out = [], [], {}, []
-    for side, path, kind, other, was, score in zip(pdf["side"], pdf["path"], pdf["type"], pdf["other"], pdf["old_type"], pdf["content"], strict=True):
+    for side, path, kind, other, was, score in rows:
         if side == "gone":
             gone.append((path, kind))
         elif side == "new":
@@ -200,8 +204,24 @@ def _changes(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     olds = set(renamed.values())
     kinds = dict(gone)
     out += [("renamed", p, renamed[p], t, kinds[renamed[p]]) if p in renamed else ("added", p, "", t, None) for p, t in new]
-    out += [("removed", p, "", None, t) for p, t in gone if p not in olds]
-    return pd.DataFrame([(lane, file, day, *x) for x in out], columns=["lane", "file", "day", "change", "field", "old_field", "type", "old_type"])
+    return out + [("removed", p, "", None, t) for p, t in gone if p not in olds]
+
+
+def _changes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Changes of all files of a partition, whose rows come file by file; one file is held at a time."""
+    names = [c.split()[0] for c in _CHANGES.split(", ")]
+    at, rows = None, []
+    for pdf in batches:
+        out = []
+        cells = pdf[_SIDES].astype(object).where(pdf[_SIDES].notna(), None)
+        for lane, file, day, *cell in cells.itertuples(index=False, name=None):
+            if at != (lane, file, day):
+                out += [(*at, *c) for c in _file_changes(rows)] if rows else []
+                at, rows = (lane, file, day), []
+            rows.append(tuple(cell))
+        yield pd.DataFrame(out, columns=names)
+    if rows:
+        yield pd.DataFrame([(*at, *c) for c in _file_changes(rows)], columns=names)
 
 
 def schema_changes(df: DataFrame, *, lane: str = "lane", file: str = "receipt_file", day: str = "file_date", payload: str = "payload") -> DataFrame:
@@ -240,7 +260,8 @@ def schema_changes(df: DataFrame, *, lane: str = "lane", file: str = "receipt_fi
     rows = diff.select("lane", "_i", "side", "path", "type", F.lit(None).cast("string").alias("other"), "old_type", F.lit(None).cast("double").alias("content")).unionByName(
         scored.select("lane", "_i", F.lit("pair").alias("side"), "path", "type", "other", F.lit(None).cast("string").alias("old_type"), "content")
     )
-    return rows.join(files, ["lane", "_i"]).groupBy("lane", "file", "day").applyInPandas(_changes, _CHANGES)
+    by_file = ["lane", "file", "day"]
+    return rows.join(files, ["lane", "_i"]).select(*_SIDES).repartition(*by_file).sortWithinPartitions(*by_file).mapInPandas(_changes, _CHANGES)
 
 
 #: Columns that are always there, with their types by the name a field had first; all others come from the statistics.
