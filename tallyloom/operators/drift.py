@@ -237,9 +237,9 @@ def schema_changes(df: DataFrame, *, lane: str = "lane", file: str = "receipt_fi
     typed = typed.withColumn("type", F.when(F.size("types") > 0, F.array_join("types", "+"))).drop("types")
     # files of a lane are numbered; a path is new, gone or retyped by its own neighbours in that order: no join
     lane_, path_ = Window.partitionBy("lane"), Window.partitionBy("lane", "path").orderBy("_i")
-    at = typed.withColumn("_i", F.dense_rank().over(lane_.orderBy("day", "file"))).withColumn("_last", F.max("_i").over(lane_))
-    at = at.withColumns({"_prev": F.lag("_i").over(path_), "_was": F.lag("type").over(path_), "_next": F.lead("_i").over(path_)}).persist()
-    files = at.groupBy("lane", "_i").agg(F.first("file").alias("file"), F.first("day").alias("day"))
+    files = by_file.select("lane", "file", "day").distinct()  # the windows over a lane see one row a file
+    files = files.withColumn("_i", F.row_number().over(lane_.orderBy("day", "file"))).withColumn("_last", F.max("_i").over(lane_))
+    at = typed.join(files, ["lane", "file", "day"]).withColumns({"_prev": F.lag("_i").over(path_), "_was": F.lag("type").over(path_), "_next": F.lead("_i").over(path_)}).persist()
     there = F.coalesce(F.col("_prev") == F.col("_i") - 1, F.lit(False))
     event = lambda when, side, i, old: F.when(when, F.struct(F.lit(side).alias("side"), i.alias("_i"), old.alias("old_type")))
     none = F.lit(None).cast("string")
@@ -261,7 +261,7 @@ def schema_changes(df: DataFrame, *, lane: str = "lane", file: str = "receipt_fi
         scored.select("lane", "_i", F.lit("pair").alias("side"), "path", "type", "other", F.lit(None).cast("string").alias("old_type"), "content")
     )
     by_file = ["lane", "file", "day"]
-    return rows.join(files, ["lane", "_i"]).select(*_SIDES).repartition(*by_file).sortWithinPartitions(*by_file).mapInPandas(_changes, _CHANGES)
+    return rows.join(files.drop("_last"), ["lane", "_i"]).select(*_SIDES).repartition(*by_file).sortWithinPartitions(*by_file).mapInPandas(_changes, _CHANGES)
 
 
 #: Columns that are always there, with their types by the name a field had first; all others come from the statistics.
