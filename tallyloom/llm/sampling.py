@@ -171,12 +171,12 @@ def stratified_sample(
         kept = rounded(weight * high, by_channel, goal)
     weights = spark.createDataFrame([(x.target_id, float(w)) for x, w in zip(t, weight, strict=True)], "target_id bigint, weight double")
     u = (F.pmod(F.xxhash64(F.lit(seed), F.col("row")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    keyed = rows.join(F.broadcast(weights), "target_id").where("weight > 0").withColumn("sample_key", -F.log(u) / F.col("weight"))
+    keyed = rows.join(F.broadcast(weights), "target_id").where("weight > 0").withColumns({"sample_key": -F.log(u) / F.col("weight"), "_place": 1 - u}).persist()
     overall = spark.createDataFrame([(0, total)], "_all int, quota bigint")
     drawn_by = {x.target_id: x["count"] for x in least_rows(keyed.withColumn("_all", F.lit(0)), overall, "_all", F.col("sample_key") / (1 + F.col("sample_key"))).groupBy("target_id").count().collect()}
     drawn = [drawn_by.get(x.target_id, 0) for x in t]
     quota = spark.createDataFrame([(x.target_id, k) for x, k in zip(t, kept, strict=True)], "target_id bigint, quota bigint")
-    sample = least_rows(keyed, quota, "target_id", 1 - u).select("row", "target_id", "weight", "sample_key")
+    sample = least_rows(keyed, quota, "target_id", F.col("_place")).select("row", "target_id", "weight", "sample_key")
     n = sum(kept)
     residual = share - np.array(kept, float) / max(n, 1)
     margins = [np.bincount(g, weights=residual)[g].tolist() if t else [] for g in (by_channel, by_domain)]
