@@ -6,6 +6,7 @@ out in append mode once the watermark has passed them; ``run_available`` drives
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 
 import pandas as pd
@@ -78,8 +79,12 @@ def level_alerts(df: DataFrame, key: str = "user_id", level: str = "high") -> Da
 
 
 def run_available(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Runs the query over what its source holds and returns the rows, from a memory table of that name."""
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    """Runs the query over what its source holds and returns the rows, from a memory table of that name.
+
+    The table is held by the driver, so this is for results of bounded size; state and offsets go to the shared folder.
+    """
+    at = checkpoint_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", at).trigger(availableNow=True).start()
     q.awaitTermination()
     return df.sparkSession.table(name)
 
